@@ -56,6 +56,7 @@ class Brackets:
     max_rows: int            # proven upper bound on df's row count
     broadcast: bool
     salt: int                # > 1 only when not broadcast
+    pieces: DataFrame | None = None   # one row per piece, before bucketing
 
     @property
     def lower_col(self) -> str:
@@ -163,7 +164,14 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
         df = df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return Brackets(df=df, group=group, axis=axis, values=values, k=k, width=float(width),
                     axis_min=amin, axis_max=amax, max_rows=max_rows * salt,
-                    broadcast=broadcast, salt=salt)
+                    broadcast=broadcast, salt=salt, pieces=pieces)
+
+
+def in_piece(x: Column, point: Column, frm: Column, to: Column) -> Column:
+    """x lies in the piece: equal to a point, or strictly inside an interval
+    (a NULL end is infinite)."""
+    return ((point & (x == frm))
+            | (~point & (frm.isNull() | (x > frm)) & (to.isNull() | (x < to))))
 
 
 def bracket_lookup(df: DataFrame, br: Brackets, group: str | None = None,
@@ -208,9 +216,7 @@ def bracket_lookup(df: DataFrame, br: Brackets, group: str | None = None,
                                              F.lit(br.salt)).cast("int"))
     right = F.broadcast(b) if br.broadcast else b
     cond = ((left[group] == right[_G]) & (left[_XB] == right[_B])
-            & ((right[_PT] & (x == right[_FROM]))
-               | (~right[_PT] & (right[_FROM].isNull() | (x > right[_FROM]))
-                  & (right[_TO].isNull() | (x < right[_TO])))))
+            & in_piece(x, right[_PT], right[_FROM], right[_TO]))
     if br.salt > 1:
         cond = cond & (left[_SALT] == right[_SALT])
     out = left.join(right, cond, how)

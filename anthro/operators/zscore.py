@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anthro.constants import DAYS_PER_MONTH
 from anthro.functions.lms import is_valid_z, lms_zscore, strict_z_filter
 from anthro.operators.bracket import Brackets, bracket_lookup, build_brackets, interpolate
+from anthro.operators.day_table import DayTable, build_day_table, day_lookup, day_table_bound
+from anthro.sources.grids import validate_grid
 
 
 def lms_interpolate(cohort: DataFrame, grid_or_brackets, *, k: int = 1,
@@ -24,6 +27,31 @@ def lms_interpolate(cohort: DataFrame, grid_or_brackets, *, k: int = 1,
     return interpolate(looked, axis, ("l", "m", "s"), lower="lower_age", upper="upper_age")
 
 
+def lms_parameters(cohort: DataFrame, grid, *, k: int = 1,
+                   days_per_month: float = DAYS_PER_MONTH, method: str = "auto",
+                   max_day_rows: int = 2_000_000, **bracket_opts) -> DataFrame:
+    """Cohort rows inside the grid with ``lower_age``, ``upper_age``, the
+    bracketing L/M/S and the interpolated ``l``, ``m``, ``s``.
+
+    ``method="days"`` joins on whole days of age (:mod:`day_table`),
+    ``"bracket"`` on the bucketed brackets; ``"auto"`` takes the day table
+    when its proven size is at most ``max_day_rows``.  ``grid`` may also be
+    a prebuilt :class:`DayTable` or :class:`Brackets`.
+    """
+    if isinstance(grid, DayTable):
+        table = grid
+    elif isinstance(grid, Brackets) or method == "bracket":
+        return lms_interpolate(cohort, grid, k=k, **bracket_opts)
+    else:
+        st = validate_grid(grid)
+        if method == "auto" and day_table_bound(st, days_per_month) > max_day_rows:
+            return lms_interpolate(cohort, grid, k=k, stats=st, **bracket_opts)
+        table = build_day_table(grid, k=k, days_per_month=days_per_month, stats=st)
+    out = day_lookup(cohort, table, "measurement_datetime", "birth_datetime")
+    return out.withColumnsRenamed({f"lower_{table.axis}": "lower_age",
+                                   f"upper_{table.axis}": "upper_age"})
+
+
 def with_zscore(df: DataFrame, *, value: str = "bmi_value", strict: bool = False,
                 max_abs: float = 1e15) -> DataFrame:
     """Add ``z_score`` and keep rows with a finite z.

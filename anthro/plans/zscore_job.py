@@ -13,7 +13,7 @@ from anthro.constants import (BMI_CONCEPT_ID, DAYS_PER_MONTH, DEFAULT_LABEL_PREF
                               DEFAULT_VERSION, ZSCORE_CONCEPT_ID)
 from anthro.operators.cohort import measurement_cohort
 from anthro.operators.records import zscore_records
-from anthro.operators.zscore import lms_interpolate, with_zscore
+from anthro.operators.zscore import lms_parameters, with_zscore
 
 
 def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
@@ -27,6 +27,7 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
                strict: bool = False,
                site: str | None = None,
                hot_key_fraction: float | None = None,
+               method: str = "auto",
                **bracket_opts) -> DataFrame:
     """BMI-for-age z-score records for every site (16 columns).
 
@@ -36,6 +37,7 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
     drops rows with a NULL in any of the named columns, reproducing the
     rows its nine-column re-join loses (see ``constants.REJOIN_KEYS``).
     ``site`` restricts the job to one ``site_id`` (filter pushed to the scan).
+    ``method`` picks the lookup (see :func:`lms_parameters`).
     """
     m = measurement if site is None else measurement.filter(F.col("site_id") == F.lit(site))
     cohort = measurement_cohort(m, person, concept_id=measurement_concept_id,
@@ -43,7 +45,8 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
                                 hot_key_fraction=hot_key_fraction)
     if drop_null_keys:
         cohort = cohort.dropna(subset=list(drop_null_keys))
-    withlms = lms_interpolate(cohort, grid, k=neighbor_rank, **bracket_opts)
+    withlms = lms_parameters(cohort, grid, k=neighbor_rank, days_per_month=days_per_month,
+                             method=method, **bracket_opts)
     z = with_zscore(withlms, strict=strict)
     return zscore_records(z, zscore_concept_id=zscore_concept_id, version=version,
                           label_prefix=label_prefix)

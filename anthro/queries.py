@@ -18,7 +18,7 @@ from anthro.functions.codes import gender_decode, source_label
 from anthro.functions.dates import age_in_months
 from anthro.operators.bracket import bracket_lookup, build_brackets
 from anthro.operators.cohort import measurement_cohort, select_measurements, select_persons
-from anthro.operators.zscore import lms_interpolate, with_zscore
+from anthro.operators.zscore import lms_interpolate, lms_parameters, with_zscore
 from anthro.oracle import BY_SITE, RECORDS_PARAMS, ROUND
 from anthro.plans.zscore_job import bmi_zscore
 from anthro.session import scratch_path
@@ -117,7 +117,7 @@ def q_lms_interpolate(spark, sf_dir):
 
 def _z(spark, sf_dir, strict):
     c, g = _cohort(spark, sf_dir)
-    out = with_zscore(lms_interpolate(c, g, k=1), strict=strict)
+    out = with_zscore(lms_parameters(c, g, k=1), strict=strict)
     out = out.select("measurement_id", "person_id", "bmi_value", "age_in_months", "gender",
                      "l", "m", "s", "z_score")
     return _rounded(out, ["z_score"])

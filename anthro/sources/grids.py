@@ -62,11 +62,22 @@ def rule_grid_rows(female_m_factor: float = 0.98) -> list[tuple]:
     return rows
 
 
+def _sql_str(v: str) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
 def grid_from_rows(spark: SparkSession, rows) -> DataFrame:
-    """Grid from ``(gender, age, l, m, s)`` tuples (small, driver-held)."""
-    return spark.createDataFrame(
-        [(g, float(a), float(l), float(m), float(s)) for g, a, l, m, s in rows],
-        schema=GRID_SCHEMA)
+    """Grid from ``(gender, age, l, m, s)`` tuples (small, driver-held).
+
+    Written as a SQL ``VALUES`` list, so the grid is a local relation in
+    the JVM: no Python worker is started for it, and the planner knows its
+    exact size.  ``repr`` of a float round-trips, and ``D`` makes a double.
+    """
+    rows = [(g, float(a), float(l), float(m), float(s)) for g, a, l, m, s in rows]
+    if not rows:
+        return spark.createDataFrame([], GRID_SCHEMA)
+    vals = ", ".join(f"({_sql_str(g)}, {a!r}D, {l!r}D, {m!r}D, {s!r}D)" for g, a, l, m, s in rows)
+    return spark.sql(f"SELECT * FROM VALUES {vals} AS grid(gender, age, l, m, s)")
 
 
 def rule_grid(spark: SparkSession) -> DataFrame:
@@ -100,7 +111,7 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
     """Check a grid and return its axis statistics.
 
     Raises :class:`GridError` on a NULL or NaN key/value or a duplicate
-    ``(group, axis)``.  Two small aggregate jobs over the grid; only one row
+    ``(group, axis)``.  One small aggregate job over the grid; only one row
     of statistics comes back to the driver.
     """
     cols = [group, axis, *values]
@@ -115,13 +126,14 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
         F.min(axis).alias("amin"),
         F.max(axis).alias("amax"),
         F.countDistinct(group).alias("n_groups"),
+        F.countDistinct(group, axis).alias("n_keys"),
     ).first()
     n = int(st["n"])
     if n == 0:
         raise GridError("grid is empty")
     if st["n_bad"]:
         raise GridError(f"grid has {st['n_bad']} row(s) with a NULL or NaN field")
-    n_keys = grid.select(group, axis).distinct().count()
+    n_keys = int(st["n_keys"])
     if n_keys != n:
         raise GridError(f"grid has {n - n_keys} duplicate ({group}, {axis}) key(s)")
     return {"n": n, "min": float(st["amin"]), "max": float(st["amax"]),
