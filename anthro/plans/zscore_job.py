@@ -14,6 +14,8 @@ from anthro.constants import (BMI_CONCEPT_ID, DAYS_PER_MONTH, DEFAULT_LABEL_PREF
 from anthro.operators.cohort import measurement_cohort
 from anthro.operators.records import zscore_records
 from anthro.operators.zscore import lms_parameters, with_zscore
+from anthro.plans.inspect import plan_text
+from anthro.sources.sinks import write_zscores
 
 
 def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
@@ -51,3 +53,18 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
     return zscore_records(z, zscore_concept_id=zscore_concept_id, version=version,
                           label_prefix=label_prefix)
 
+
+
+def run_zscore_job(measurement: DataFrame, person: DataFrame, grid, path: str | None = None,
+                   *, table: str | None = None, explain_only: bool = False,
+                   **params) -> str | None:
+    """Build the job and write it (all sites, partitioned by ``site_id``).
+
+    ``explain_only=True`` returns the physical plan and writes nothing.
+    Write errors are raised, not printed and swallowed.
+    """
+    df = bmi_zscore(measurement, person, grid, **params)
+    if explain_only:
+        return plan_text(df)
+    write_zscores(df, path, table=table)
+    return None

@@ -62,8 +62,18 @@ def rule_grid_rows(female_m_factor: float = 0.98) -> list[tuple]:
     return rows
 
 
-def _sql_str(v: str) -> str:
-    return "'" + str(v).replace("'", "''") + "'"
+def _sql_str(v) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _sql_double(v) -> str:
+    """A double literal; ``repr`` round-trips, ``D`` makes it a double."""
+    if v is None:
+        return "CAST(NULL AS DOUBLE)"
+    v = float(v)
+    if v != v or v in (float("inf"), float("-inf")):
+        return f"CAST('{v!r}' AS DOUBLE)".replace("'inf'", "'Infinity'").replace("'-inf'", "'-Infinity'")
+    return f"{v!r}D"
 
 
 def grid_from_rows(spark: SparkSession, rows) -> DataFrame:
@@ -71,12 +81,13 @@ def grid_from_rows(spark: SparkSession, rows) -> DataFrame:
 
     Written as a SQL ``VALUES`` list, so the grid is a local relation in
     the JVM: no Python worker is started for it, and the planner knows its
-    exact size.  ``repr`` of a float round-trips, and ``D`` makes a double.
+    exact size.  NULL and NaN are kept (and rejected by :func:`validate_grid`).
     """
-    rows = [(g, float(a), float(l), float(m), float(s)) for g, a, l, m, s in rows]
+    rows = list(rows)
     if not rows:
         return spark.createDataFrame([], GRID_SCHEMA)
-    vals = ", ".join(f"({_sql_str(g)}, {a!r}D, {l!r}D, {m!r}D, {s!r}D)" for g, a, l, m, s in rows)
+    vals = ", ".join("(" + ", ".join([_sql_str(r[0])] + [_sql_double(v) for v in r[1:]]) + ")"
+                     for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {vals} AS grid(gender, age, l, m, s)")
 
 
