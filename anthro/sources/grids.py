@@ -91,8 +91,20 @@ def grid_from_rows(spark: SparkSession, rows) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {vals} AS grid(gender, age, l, m, s)")
 
 
+def raw_sex_table(spark: SparkSession, rows) -> DataFrame:
+    """One sex as stored: ``(age, l, m, s)`` all strings, from ``(age, l, m, s)``
+    tuples -- the form of a published table before typing (T6)."""
+    vals = ", ".join("(" + ", ".join(_sql_str(None if v is None else repr(float(v))) for v in r) + ")"
+                     for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {vals} AS raw(age, l, m, s)")
+
+
 def rule_grid(spark: SparkSession) -> DataFrame:
-    return grid_from_rows(spark, rule_grid_rows())
+    """The synthetic grid, built the way a stored grid is read: one string
+    table per sex, typed and unioned (:func:`union_sexes`)."""
+    rows = rule_grid_rows()
+    by_sex = {g: [r[1:] for r in rows if r[0] == g] for g in ("female", "male")}
+    return union_sexes(raw_sex_table(spark, by_sex["female"]), raw_sex_table(spark, by_sex["male"]))
 
 
 def label_sex(raw: DataFrame, gender: str) -> DataFrame:
@@ -108,13 +120,13 @@ def union_sexes(female: DataFrame, male: DataFrame) -> DataFrame:
 
 
 def read_grid_csv(spark: SparkSession, path: str, gender: str | None = None) -> DataFrame:
-    """Read a CSV grid with header ``age,l,m,s`` (+ ``gender`` unless given)."""
+    """Read a CSV grid with a header naming ``age, l, m, s`` (and ``gender``
+    unless ``gender`` is given).  Columns are taken by name, read as text
+    and cast to double (no type inference pass over the file)."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if gender is None:
-        df = spark.read.option("header", True).schema(
-            T.StructType([T.StructField("gender", T.StringType())] + RAW_GRID_SCHEMA.fields)
-        ).csv(path)
-        return df.select("gender", *[F.col(c).cast("double").alias(c) for c in ("age", "l", "m", "s")])
-    return label_sex(spark.read.option("header", True).schema(RAW_GRID_SCHEMA).csv(path), gender)
+        return raw.select("gender", *[F.col(c).cast("double").alias(c) for c in ("age", "l", "m", "s")])
+    return label_sex(raw, gender)
 
 
 def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",

@@ -9,15 +9,21 @@ from anthro.constants import OUTPUT_COLUMNS
 
 def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None = None,
                   fmt: str = "parquet", mode: str = "overwrite",
-                  max_records_per_file: int = 5_000_000) -> None:
+                  max_records_per_file: int = 5_000_000, rebalance: bool = True) -> None:
     """Write records partitioned by ``site_id`` (one folder per site).
 
-    No shuffle before the write: every task writes its own file per site it
-    holds, so a site with a third of all rows is still written by all
-    tasks in parallel; ``maxRecordsPerFile`` bounds file sizes.  The file
-    committer makes the write all-or-nothing, and a task lost with its
-    executor is re-run.  Errors are raised, never swallowed.
+    ``rebalance`` adds Spark's REBALANCE hint on ``site_id``: one shuffle of
+    the (small) output so each site is written in few, well-sized files
+    instead of one small file per input task and site, and AQE splits the
+    partition of a site that holds a large share of the rows
+    (``spark.sql.adaptive.optimizeSkewsInRebalancePartitions``), so no
+    single task writes a hot site.  Without it there is no shuffle at all.
+    ``maxRecordsPerFile`` bounds file sizes.  The file committer makes the
+    write all-or-nothing, and a task lost with its executor is re-run.
+    Errors are raised, never swallowed.
     """
+    if rebalance:
+        df = df.hint("rebalance", "site_id")
     w = (df.write.mode(mode).format(fmt).partitionBy("site_id")
          .option("maxRecordsPerFile", max_records_per_file))
     if table:
