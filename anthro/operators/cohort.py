@@ -70,3 +70,21 @@ def measurement_cohort(measurement: DataFrame, person: DataFrame, *,
         "provider_id",
         "visit_occurrence_id",
     )
+
+
+class DuplicateKeyError(ValueError):
+    """A key column meant to be unique holds a value twice."""
+
+
+def check_unique(df: DataFrame, key: str) -> None:
+    """Raise :class:`DuplicateKeyError` if ``key`` repeats in ``df``.
+
+    The lookup keeps every input row, so duplicate ids do not collapse or
+    mis-pair rows as a window over the id would; the check is for callers
+    whose downstream tables need the id to be unique.  One aggregation with
+    partial counts before the shuffle; at most one row reaches the driver.
+    """
+    dup = (df.filter(F.col(key).isNotNull()).groupBy(key).count()
+           .filter(F.col("count") > 1).limit(1).collect())
+    if dup:
+        raise DuplicateKeyError(f"{key} {dup[0][key]!r} occurs {dup[0]['count']} times")

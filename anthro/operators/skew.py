@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +32,16 @@ def find_hot_keys(df: DataFrame, key: str, hot_fraction: float) -> list:
     if not 0 < hot_fraction <= 1:
         raise ValueError("hot_fraction must be in (0, 1]")
     limit = math.ceil(1.0 / hot_fraction)
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    top = counts.orderBy(F.desc("__n")).limit(limit).collect()  # <= limit rows
-    if not top:
-        return []
-    total = df.count()
+    # One row per key; kept so that the top-k and the total read it once.
+    # Lost blocks are recomputed from lineage.
+    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        total = counts.agg(F.sum("__n")).first()[0] or 0
+        top = (counts.filter(F.col(key).isNotNull())
+               .orderBy(F.desc("__n")).limit(limit).collect())  # <= limit rows
+    finally:
+        counts.unpersist()
     return [r[key] for r in top if r["__n"] >= hot_fraction * total]
 
 

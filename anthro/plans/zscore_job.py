@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from anthro.constants import (BMI_CONCEPT_ID, DAYS_PER_MONTH, DEFAULT_LABEL_PREFIX,
                               DEFAULT_VERSION, ZSCORE_CONCEPT_ID)
-from anthro.operators.cohort import measurement_cohort
+from anthro.operators.cohort import check_unique, measurement_cohort
 from anthro.operators.records import zscore_records
 from anthro.operators.zscore import lms_parameters, with_zscore
 from anthro.plans.inspect import plan_text
@@ -30,6 +30,7 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
                site: str | None = None,
                hot_key_fraction: float | None = None,
                method: str = "auto",
+               require_unique_ids: bool = False,
                **bracket_opts) -> DataFrame:
     """BMI-for-age z-score records for every site (16 columns).
 
@@ -40,8 +41,12 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
     rows its nine-column re-join loses (see ``constants.REJOIN_KEYS``).
     ``site`` restricts the job to one ``site_id`` (filter pushed to the scan).
     ``method`` picks the lookup (see :func:`lms_parameters`).
+    ``require_unique_ids`` first checks that ``measurement_id`` is unique
+    (one aggregation job) and raises otherwise.
     """
     m = measurement if site is None else measurement.filter(F.col("site_id") == F.lit(site))
+    if require_unique_ids:
+        check_unique(m, "measurement_id")
     cohort = measurement_cohort(m, person, concept_id=measurement_concept_id,
                                 days_per_month=days_per_month,
                                 hot_key_fraction=hot_key_fraction)
