@@ -14,6 +14,7 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from anthro.session import get_session
     s = get_session("local[4]", shuffle_partitions=8, app_name="anthro-tests",
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="anthro-test-ckpt-")})
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="anthro-test-ckpt-"),
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="anthro-test-wh-")})
     yield s
     s.stop()

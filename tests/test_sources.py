@@ -10,7 +10,7 @@ from anthro.session import scratch_path
 from anthro.sources.fixtures import fixture_tables
 from anthro.sources.grids import read_grid_csv, rule_grid, rule_grid_rows, union_sexes
 from anthro.sources.sinks import read_zscores
-from anthro.sources.tables import read_source
+from anthro.sources.tables import read_source, save_bucketed_by_person
 
 from conftest import SF0001
 
@@ -69,3 +69,31 @@ def test_cli_writes_and_compiles(spark, stored, capsys):
     assert cli_main(args_tab[:-2] + ["--compile"]) == 0
     assert "== Physical Plan ==" in capsys.readouterr().out
     assert cli_main(["--measurement", "x", "--person", "y"]) == 2
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    m, p = fixture_tables(spark, SF0001)
+    save_bucketed_by_person(m, "bucketed_measurement", 4)
+    save_bucketed_by_person(p, "bucketed_person", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the at-scale join
+    try:
+        df = bmi_zscore(spark.table("bucketed_measurement"), spark.table("bucketed_person"),
+                        rule_grid(spark))
+        tree = plan_text(df).split("\n\n(1)")[0]
+        assert "SortMergeJoin" in tree
+        lines = tree.splitlines()
+        at = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
+        col = lines[at].index("SortMergeJoin")
+        sub = []                      # the join's own subtree
+        for ln in lines[at + 1:]:
+            name_at = len(ln) - len(ln.lstrip(" :+-"))
+            if name_at <= col:
+                break
+            sub.append(ln)
+        assert any("Scan parquet" in ln for ln in sub)
+        below = [ln for ln in sub if "Exchange" in ln]
+        assert below == [], below     # no shuffle on either side of the person join
+        assert df.count() == 863
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
