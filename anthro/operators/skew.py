@@ -9,11 +9,12 @@ should not depend on AQE thresholds:
    shuffle, one row per key after it);
 2. bring back at most ``ceil(1 / hot_fraction)`` keys -- no more keys can
    each own that fraction of the rows, so the list is bounded;
-3. hot rows join a broadcast of the other side's hot rows (its size is
-   counted first), cold rows take the ordinary shuffled join.
+3. the join runs on ``(key, salt)``: hot rows are spread over ``salt``
+   values by a hash of the row, and only the other side's rows of hot keys
+   are copied once per salt value.
 
-The hot rows never pass through one task: they stay in the scan tasks that
-read them.
+A hot key never lands in one task, and the large side is scanned once by
+the join (plus once, column-pruned, by the key count).
 """
 
 from __future__ import annotations
@@ -24,9 +25,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
 def find_hot_keys(df: DataFrame, key: str, hot_fraction: float) -> list:
     """Keys owning at least ``hot_fraction`` of the rows of ``df``."""
     if not 0 < hot_fraction <= 1:
@@ -47,34 +45,32 @@ def find_hot_keys(df: DataFrame, key: str, hot_fraction: float) -> list:
 
 def join_with_hot_keys(big: DataFrame, small: DataFrame, key: str, *,
                        hot_fraction: float = 0.05, how: str = "inner",
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        salt: int = 64, hot: list | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys of ``big`` split out.
+    """``big.join(small, key, how)`` with the hot keys of ``big`` salted.
+
+    ``how`` is ``"inner"`` or ``"left"`` (rows of ``big`` are kept).  One
+    scan of ``big`` and one join:
+
+    * a row of ``big`` with a hot key gets ``salt`` = a hash of the whole
+      row modulo ``salt`` (deterministic, so a task re-run after an
+      executor loss routes every row the same way); other rows get 0;
+    * a row of ``small`` with a hot key is copied once per salt value,
+      other rows once with 0 -- ``small`` grows by at most
+      ``(salt - 1) x`` its rows for the ``<= ceil(1 / hot_fraction)`` hot keys;
+    * the join on ``(key, salt)`` spreads each hot key over ``salt`` tasks.
 
-    ``how`` is ``"inner"`` or ``"left"`` (rows of ``big`` are kept).
-    When the hot rows of ``small`` are more than ``max_broadcast_rows``
-    they are copied ``salt`` times and the hot rows of ``big`` are spread
-    over the copies by a hash of the row (deterministic, so a recomputed
-    task after an executor loss routes rows the same way).
+    The planner still picks broadcast or sort-merge from measured sizes.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     hot = find_hot_keys(big, key, hot_fraction) if hot is None else list(hot)
     if not hot:
         return big.join(small, key, how)
+    s = max(2, int(salt))
     is_hot = F.col(key).isin(hot)
-    big_hot = big.filter(is_hot)
-    big_rest = big.filter(~is_hot | F.col(key).isNull())
-    small_hot = small.filter(is_hot)
-    small_rest = small.filter(~is_hot)
-    rest = big_rest.join(small_rest, key, how)
-    n_small_hot = small_hot.count()
-    if n_small_hot <= max_broadcast_rows:
-        hot_part = big_hot.join(F.broadcast(small_hot), key, how)
-    else:
-        s = max(2, int(salt))
-        salted_small = small_hot.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(s - 1))))
-        salted_big = big_hot.withColumn(
-            "__salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(s)).cast("int"))
-        hot_part = salted_big.join(salted_small, [key, "__salt"], how).drop("__salt")
-    return rest.unionByName(hot_part)
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    b = big.withColumn("__salt", F.when(is_hot, F.pmod(row_hash, F.lit(s))).otherwise(F.lit(0))
+                       .cast("int"))
+    sm = small.withColumn("__salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(s - 1))).otherwise(F.array(F.lit(0)))))
+    return b.join(sm, [key, "__salt"], how).drop("__salt")

@@ -104,8 +104,12 @@ def test_hot_key_split(spark, inputs):
     a = join_with_hot_keys(skewed, p, "person_id", hot_fraction=0.2)
     b = skewed.join(p, "person_id")
     assert sorted(a.collect()) == sorted(b.collect())
-    c = join_with_hot_keys(skewed, p, "person_id", hot_fraction=0.2, max_broadcast_rows=0, salt=4)
+    c = join_with_hot_keys(skewed, p, "person_id", hot_fraction=0.2, salt=4)
     assert sorted(c.collect()) == sorted(b.collect())
+    # the hot person's rows are spread over the salt values
+    spread = (skewed.filter("person_id = 4")
+              .select(F.pmod(F.xxhash64(*skewed.columns), F.lit(64)).alias("s")).distinct().count())
+    assert spread > 32
     # left join keeps unmatched rows on both paths
     d = join_with_hot_keys(skewed, p.filter("person_id % 2 = 0"), "person_id", hot_fraction=0.2, how="left")
     e = skewed.join(p.filter("person_id % 2 = 0"), "person_id", "left")
