@@ -44,6 +44,9 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
     ``require_unique_ids`` first checks that ``measurement_id`` is unique
     (one aggregation job) and raises otherwise.
     """
+    if measurement.isStreaming and (hot_key_fraction or require_unique_ids):
+        raise ValueError("hot_key_fraction and require_unique_ids need a batch input "
+                         "(they count over the whole table first)")
     m = measurement if site is None else measurement.filter(F.col("site_id") == F.lit(site))
     if require_unique_ids:
         check_unique(m, "measurement_id")
@@ -59,7 +62,6 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
                           label_prefix=label_prefix)
 
 
-
 def run_zscore_job(measurement: DataFrame, person: DataFrame, grid, path: str | None = None,
                    *, table: str | None = None, explain_only: bool = False,
                    **params) -> str | None:
