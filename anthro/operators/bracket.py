@@ -39,6 +39,8 @@ _G, _B, _PT, _FROM, _TO, _SALT, _XB = ("__br_group", "__br_bucket", "__br_point"
 # A bracket row holds a few doubles and the group label; 500k rows stay far
 # below the broadcast limits of a driver and an executor.
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# Grids up to this many rows are windowed in one task instead of a shuffle.
+SINGLE_TASK_GRID_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -123,6 +125,8 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
 
     w = Window.partitionBy(group).orderBy(axis)
     g = grid.select(group, axis, *values)
+    if n <= SINGLE_TASK_GRID_ROWS:
+        g = g.coalesce(1)      # one partition already satisfies the window's clustering
     shifted = {"__nxt": _shift(axis, 1, w), "__rn": F.row_number().over(w)}
     for j in sorted({k - 1, k}):
         shifted[f"__a_p{j}"] = _shift(axis, j, w)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from anthro.constants import DAYS_PER_MONTH
 from anthro.functions.lms import is_valid_z, lms_zscore, strict_z_filter

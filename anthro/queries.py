@@ -26,9 +26,6 @@ from anthro.sources.fixtures import fixture_tables
 from anthro.sources.grids import rule_grid
 from anthro.sources.sinks import read_zscores, write_zscores
 
-LOOKUP_COLS = ("lower_age", "upper_age", "l_lo", "l_hi", "m_lo", "m_hi", "s_lo", "s_hi")
-
-
 def _rounded(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.round(c, ROUND) for c in cols})
 

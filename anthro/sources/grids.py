@@ -134,8 +134,9 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
     """Check a grid and return its axis statistics.
 
     Raises :class:`GridError` on a NULL or NaN key/value or a duplicate
-    ``(group, axis)``.  One small aggregate job over the grid; only one row
-    of statistics comes back to the driver.
+    ``(group, axis)``.  One aggregate job over the grid in a single task (a
+    grid is a lookup table of thousands of rows, so no shuffle is worth
+    it); only one row of statistics comes back to the driver.
     """
     cols = [group, axis, *values]
     bad = F.lit(False)
@@ -143,7 +144,7 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
         bad = bad | F.col(c).isNull()
     for c in (axis, *values):
         bad = bad | F.isnan(F.col(c))
-    st = grid.agg(
+    st = grid.coalesce(1).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(bad, 1).otherwise(0)).alias("n_bad"),
         F.min(axis).alias("amin"),

@@ -1,7 +1,5 @@
 """Registered queries against their DuckDB SQL at sf0.001."""
 
-import os
-
 import duckdb
 import pytest
 

@@ -5,7 +5,6 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from anthro.functions.lms import is_valid_z, lms_zscore
 from anthro.operators.bracket import bracket_lookup, build_brackets, interpolate
