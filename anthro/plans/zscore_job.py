@@ -68,10 +68,12 @@ def run_zscore_job(measurement: DataFrame, person: DataFrame, grid, path: str |
     """Build the job and write it (all sites, partitioned by ``site_id``).
 
     ``explain_only=True`` returns the physical plan and writes nothing.
+    With ``site=...`` only that site's folder of the output is replaced.
     Write errors are raised, not printed and swallowed.
     """
     df = bmi_zscore(measurement, person, grid, **params)
     if explain_only:
         return plan_text(df)
-    write_zscores(df, path, table=table)
+    write_zscores(df, path, table=table,
+                  replace_written_sites_only=params.get("site") is not None)
     return None

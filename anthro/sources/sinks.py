@@ -9,7 +9,8 @@ from anthro.constants import OUTPUT_COLUMNS
 
 def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None = None,
                   fmt: str = "parquet", mode: str = "overwrite",
-                  max_records_per_file: int = 5_000_000, rebalance: bool = True) -> None:
+                  max_records_per_file: int = 5_000_000, rebalance: bool = True,
+                  replace_written_sites_only: bool = False) -> None:
     """Write records partitioned by ``site_id`` (one folder per site).
 
     ``rebalance`` adds Spark's REBALANCE hint on ``site_id``: one shuffle of
@@ -21,11 +22,18 @@ def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None =
     ``maxRecordsPerFile`` bounds file sizes.  The file committer makes the
     write all-or-nothing, and a task lost with its executor is re-run.
     Errors are raised, never swallowed.
+
+    ``replace_written_sites_only`` overwrites only the ``site_id`` folders
+    the job writes (dynamic partition overwrite) -- a one-site run then
+    replaces that site and leaves the others, as the per-site table of the
+    original job does.  A site with no output rows keeps its old folder.
     """
     if rebalance:
         df = df.hint("rebalance", "site_id")
     w = (df.write.mode(mode).format(fmt).partitionBy("site_id")
          .option("maxRecordsPerFile", max_records_per_file))
+    if replace_written_sites_only:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if table:
         w.saveAsTable(table)
     elif path:

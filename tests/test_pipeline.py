@@ -86,6 +86,14 @@ def test_site_filter_and_write_roundtrip(spark, inputs):
     assert back.count() == 863
     assert back.filter(F.col("site_id") == "site_0").count() == bmi_zscore(m, p, g, site="site_0").count()
     assert run_zscore_job(m, p, g, scratch_path(spark, "never"), explain_only=True).startswith("== Physical Plan ==")
+    # a one-site run replaces that site's folder only
+    run_zscore_job(m, p, g, path, site="site_2", version="v9")
+    back = read_zscores(spark, path)
+    assert back.count() == 863
+    labels = {(r["site_id"], r["measurement_source_value"].endswith("v9"))
+              for r in back.select("site_id", "measurement_source_value").distinct().collect()}
+    assert ("site_2", True) in labels and ("site_2", False) not in labels
+    assert {s for s, v9 in labels if not v9} == {"site_0", "site_1", "site_3", "site_4"}
 
 
 def test_stream_equals_batch(spark, inputs):
