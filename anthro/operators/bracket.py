@@ -234,13 +234,23 @@ def interpolate(df: DataFrame, axis: str, values=("l", "m", "s"),
     ``frac = 0`` when the bounds are equal, else ``(x - lower) / (upper -
     lower)``; ``v = v_lo + frac * (v_hi - v_lo)``.  NULL where a bound is
     missing.
+
+    The values come out of a one-element ``inline`` (a Generate node).  A
+    later filter on them -- the z-score validity filter -- then stays above
+    it: Catalyst cannot push a predicate on generator output into the
+    lookup join, where it would be evaluated per candidate bracket with the
+    interpolation inlined several times over.  That inlined condition grew
+    past the size the JVM JIT-compiles; with the Generate in between the
+    same job ran 2.4x faster at sf0.1 (identical rows).
     """
     lower = lower or f"lower_{axis}"
     upper = upper or f"upper_{axis}"
     x, lo, hi = F.col(axis), F.col(lower), F.col(upper)
     same = hi == lo
     frac = F.when(same, F.lit(0.0)).otherwise((x - lo) / (hi - lo))
-    return df.withColumns({
-        v: F.when(same, F.col(f"{v}_lo")).otherwise(
-            F.col(f"{v}_lo") + frac * (F.col(f"{v}_hi") - F.col(f"{v}_lo")))
-        for v in values})
+    interpolated = [
+        F.when(same, F.col(f"{v}_lo")).otherwise(
+            F.col(f"{v}_lo") + frac * (F.col(f"{v}_hi") - F.col(f"{v}_lo"))).alias(v)
+        for v in values]
+    rest = [c for c in df.columns if c not in values]
+    return df.select(*rest, F.inline(F.array(F.struct(*interpolated))))
