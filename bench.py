@@ -46,8 +46,7 @@ def _run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
-                        extra={"spark.driver.memory": "8g"})
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     _run(spark, "bmi_zscore", sf_dir)  # warm-up
     times = {name: round(statistics.median(_run(spark, name, sf_dir) for _ in range(runs)), 3)
