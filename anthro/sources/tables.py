@@ -1,7 +1,6 @@
 """Reading the input tables: catalog table, parquet/ORC path, or JDBC.
 
-The original job reads ``<site>_pedsnet.<table>`` from a database, one site
-per run.  Here a source is any DataFrame; these helpers cover the usual
+The original job reads one database schema per site, one site per run.  Here a source is any DataFrame; these helpers cover the usual
 ways to get one.  Column selection and filters applied later are pushed
 into the scan by Catalyst.
 """
