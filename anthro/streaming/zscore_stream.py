@@ -40,23 +40,32 @@ def start_zscore_stream(measurement: DataFrame, person: DataFrame, grid, out_pat
     return w.start(out_path)
 
 
-def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1,
+def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1, *,
+                      orders_dir: str | None = None, glob: str = "orders*.parquet",
+                      out: str | None = None, checkpoint: str | None = None,
                       **job_opts) -> DataFrame:
-    """Stream the driver's order files through the job to the end; return
-    the written records (read back from the sink)."""
-    orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
-    schema = spark.read.parquet(orders_path).schema
+    """Stream order files through the job until no new file is left; return
+    the written records (read back from the sink).
+
+    By default the order file of ``sf_dir`` is streamed into fresh folders.
+    Pass ``orders_dir``/``out``/``checkpoint`` to resume an earlier run: only
+    files that arrived since are processed, and the sink's log keeps each
+    file's rows exactly once.
+    """
+    src = (orders_dir or sf_dir).rstrip("/")
+    schema = read_table(spark, sf_dir, "orders").schema
     # A file stream source watches a folder; the glob keeps the order files.
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", "orders*.parquet")
-              .parquet(sf_dir))
+              .option("pathGlobFilter", glob)
+              .parquet(src))
     person = person_from_customer(read_table(spark, sf_dir, "customer"))
     grid = rule_grid(spark)
     br = build_brackets(grid, k=job_opts.pop("neighbor_rank", 1))
-    out = scratch_path(spark, "zscore-stream-out")
-    q = start_zscore_stream(measurement_from_orders(stream), person, br, out,
-                            scratch_path(spark, "zscore-stream-ckpt"), **job_opts)
+    out = out or scratch_path(spark, "zscore-stream-out")
+    checkpoint = checkpoint or scratch_path(spark, "zscore-stream-ckpt")
+    q = start_zscore_stream(measurement_from_orders(stream), person, br, out, checkpoint,
+                            **job_opts)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
