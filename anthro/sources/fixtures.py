@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anthro.constants import (BMI_CONCEPT_ID, DERIVED_TYPE_CONCEPT_ID, FEMALE_CONCEPT_ID,
                               MALE_CONCEPT_ID, UNIT_KG_PER_M2)
@@ -74,8 +75,25 @@ def person_from_customer(customer: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the driver tables the fixtures use.  Declaring them skips the
+# schema-inference job on every read, and the scan reads only these.
+READ_SCHEMAS = {
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_orderpriority", T.StringType()),
+    ]),
+    "customer": T.StructType([T.StructField("c_custkey", T.LongType())]),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in READ_SCHEMAS:
+        reader = reader.schema(READ_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
