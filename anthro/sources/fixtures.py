@@ -10,7 +10,6 @@ Everything is a projection of one scan: the tables grow with the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from anthro.constants import (BMI_CONCEPT_ID, DERIVED_TYPE_CONCEPT_ID, FEMALE_CONCEPT_ID,
@@ -29,49 +28,45 @@ BIRTH_DAY_RANGE = 8030
 # --- end of fixed values ----------------------------------------------------
 
 
-def _null(t: str):
-    return F.lit(None).cast(t)
-
-
 def measurement_from_orders(orders: DataFrame) -> DataFrame:
-    """One measurement row per order (key k = o_orderkey)."""
-    k = F.col("o_orderkey")
-    base = F.lit(10.0) + F.col("o_totalprice") / F.lit(PRICE_DIVISOR)
-    return orders.select(
-        k.alias("measurement_id"),
-        F.col("o_custkey").alias("person_id"),
-        F.when(k % 11 == 0, F.lit(OTHER_CONCEPT_ID)).otherwise(F.lit(BMI_CONCEPT_ID))
-         .cast("int").alias("measurement_concept_id"),
-        F.when(k % 19 == 0, F.lit(OTHER_TYPE_CONCEPT_ID)).otherwise(F.lit(DERIVED_TYPE_CONCEPT_ID))
-         .cast("int").alias("measurement_type_concept_id"),
-        F.when(k % 17 == 0, F.lit(OTHER_UNIT_CONCEPT_ID)).otherwise(F.lit(UNIT_KG_PER_M2))
-         .cast("int").alias("unit_concept_id"),
-        F.when(k % 13 == 0, _null("double"))
-         .when(k % 37 == 0, F.lit(0.0))
-         .when(k % 41 == 0, -base)
-         .otherwise(base).alias("value_as_number"),
-        F.when(k % 7 == 0, _null("string")).otherwise(F.col("o_orderpriority"))
-         .alias("value_source_value"),
-        F.when(k % 23 == 0, _null("timestamp_ntz"))
-         .otherwise(F.col("o_orderdate").cast("timestamp_ntz")).alias("measurement_datetime"),
-        F.concat(F.lit("site_"), (F.col("o_custkey") % N_SITES).cast("string")).alias("site_id"),
-        F.when(k % 10 == 0, _null("bigint")).otherwise(k % 7).cast("bigint").alias("provider_id"),
-        F.when(k % 29 == 0, _null("bigint")).otherwise(k).cast("bigint").alias("visit_occurrence_id"),
+    """One measurement row per order (key k = o_orderkey).
+
+    Written as SQL expressions (one projection, one call into the JVM).
+    """
+    base = f"(10.0D + o_totalprice / {PRICE_DIVISOR!r}D)"
+    return orders.selectExpr(
+        "o_orderkey AS measurement_id",
+        "o_custkey AS person_id",
+        f"CAST(CASE WHEN o_orderkey % 11 = 0 THEN {OTHER_CONCEPT_ID} ELSE {BMI_CONCEPT_ID} END AS INT)"
+        " AS measurement_concept_id",
+        f"CAST(CASE WHEN o_orderkey % 19 = 0 THEN {OTHER_TYPE_CONCEPT_ID} "
+        f"ELSE {DERIVED_TYPE_CONCEPT_ID} END AS INT) AS measurement_type_concept_id",
+        f"CAST(CASE WHEN o_orderkey % 17 = 0 THEN {OTHER_UNIT_CONCEPT_ID} ELSE {UNIT_KG_PER_M2} END AS INT)"
+        " AS unit_concept_id",
+        f"CASE WHEN o_orderkey % 13 = 0 THEN CAST(NULL AS DOUBLE) WHEN o_orderkey % 37 = 0 THEN 0.0D "
+        f"WHEN o_orderkey % 41 = 0 THEN -{base} ELSE {base} END AS value_as_number",
+        "CASE WHEN o_orderkey % 7 = 0 THEN CAST(NULL AS STRING) ELSE o_orderpriority END"
+        " AS value_source_value",
+        "CASE WHEN o_orderkey % 23 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        "ELSE CAST(o_orderdate AS TIMESTAMP_NTZ) END AS measurement_datetime",
+        f"concat('site_', CAST(o_custkey % {N_SITES} AS STRING)) AS site_id",
+        "CAST(CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey % 7 END AS BIGINT) AS provider_id",
+        "CAST(CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderkey END AS BIGINT)"
+        " AS visit_occurrence_id",
     )
 
 
 def person_from_customer(customer: DataFrame) -> DataFrame:
     """One person row per customer (key c = c_custkey)."""
-    c = F.col("c_custkey")
-    birth = F.date_add(F.lit(BIRTH_BASE_DATE).cast("date"),
-                       ((c * BIRTH_DAY_STEP) % BIRTH_DAY_RANGE).cast("int"))
-    return customer.select(
-        c.alias("person_id"),
-        F.when(c % 43 == 0, F.lit(UNKNOWN_SEX_CONCEPT_ID))
-         .when(c % 2 == 0, F.lit(MALE_CONCEPT_ID)).otherwise(F.lit(FEMALE_CONCEPT_ID))
-         .cast("int").alias("gender_concept_id"),
-        F.when(c % 31 == 0, _null("timestamp_ntz"))
-         .otherwise(birth.cast("timestamp_ntz")).alias("birth_datetime"),
+    birth = (f"date_add(DATE'{BIRTH_BASE_DATE}', "
+             f"CAST((c_custkey * {BIRTH_DAY_STEP}) % {BIRTH_DAY_RANGE} AS INT))")
+    return customer.selectExpr(
+        "c_custkey AS person_id",
+        f"CAST(CASE WHEN c_custkey % 43 = 0 THEN {UNKNOWN_SEX_CONCEPT_ID} "
+        f"WHEN c_custkey % 2 = 0 THEN {MALE_CONCEPT_ID} ELSE {FEMALE_CONCEPT_ID} END AS INT)"
+        " AS gender_concept_id",
+        f"CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        f"ELSE CAST({birth} AS TIMESTAMP_NTZ) END AS birth_datetime",
     )
 
 

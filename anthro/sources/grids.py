@@ -13,7 +13,7 @@ reference and must not be used for real patients.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,9 +109,8 @@ def rule_grid(spark: SparkSession) -> DataFrame:
 
 def label_sex(raw: DataFrame, gender: str) -> DataFrame:
     """One stored sex table -> typed grid rows with a ``gender`` literal."""
-    return raw.select(
-        F.lit(gender).alias("gender"),
-        *[F.col(c).cast("double").alias(c) for c in ("age", "l", "m", "s")])
+    return raw.selectExpr(f"{_sql_str(gender)} AS gender",
+                          *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in ("age", "l", "m", "s")])
 
 
 def union_sexes(female: DataFrame, male: DataFrame) -> DataFrame:
@@ -139,22 +138,20 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
     a duplicate is a row equal to its predecessor, a group starts at row
     number 1.  Only one row of statistics comes back to the driver.
     """
-    cols = [group, axis, *values]
-    bad = F.lit(False)
-    for c in cols:
-        bad = bad | F.col(c).isNull()
-    for c in (axis, *values):
-        bad = bad | F.isnan(F.col(c))
-    w = Window.partitionBy(group).orderBy(axis)
-    ordered = grid.coalesce(1).select(
-        *cols, F.lag(axis).over(w).alias("__prev"), F.row_number().over(w).alias("__rn"))
-    st = ordered.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(bad, 1).otherwise(0)).alias("n_bad"),
-        F.min(axis).alias("amin"),
-        F.max(axis).alias("amax"),
-        F.sum(F.when(F.col("__rn") == 1, 1).otherwise(0)).alias("n_groups"),
-        F.sum(F.when(F.col(axis) == F.col("__prev"), 1).otherwise(0)).alias("n_dup"),
+    q = {c: "`" + c.replace("`", "``") + "`" for c in (group, axis, *values)}
+    g, a = q[group], q[axis]
+    bad = " OR ".join([f"{q[c]} IS NULL" for c in (group, axis, *values)]
+                      + [f"isnan({q[c]})" for c in (axis, *values)])
+    over = f"OVER (PARTITION BY {g} ORDER BY {a})"
+    ordered = grid.coalesce(1).selectExpr(
+        *q.values(), f"lag({a}) {over} AS __prev", f"row_number() {over} AS __rn")
+    st = ordered.selectExpr(
+        "count(1) AS n",
+        f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END) AS n_bad",
+        f"min({a}) AS amin",
+        f"max({a}) AS amax",
+        "sum(CASE WHEN __rn = 1 THEN 1 ELSE 0 END) AS n_groups",
+        f"sum(CASE WHEN {a} = __prev THEN 1 ELSE 0 END) AS n_dup",
     ).first()
     n = int(st["n"])
     if n == 0:
