@@ -31,6 +31,9 @@ def build_parser() -> argparse.ArgumentParser:
                    help="table | parquet | orc | csv | jdbc (for the three inputs)")
     p.add_argument("--option", action="append", default=[], metavar="K=V",
                    help="reader option, e.g. url=jdbc:... (repeatable)")
+    p.add_argument("--grid-format", help="format of the grid input(s) if it differs, e.g. csv")
+    p.add_argument("--grid-option", action="append", default=[], metavar="K=V",
+                   help="reader option for the grid, e.g. header=true (repeatable)")
     p.add_argument("--out", help="output path")
     p.add_argument("--write-table", help="output catalog table")
     p.add_argument("--site", help="restrict to one site_id")
@@ -64,10 +67,16 @@ def main(argv=None) -> int:
     spark = get_session()
     opts = dict(o.split("=", 1) for o in args.option)
 
+    grid_opts = dict(o.split("=", 1) for o in args.grid_option) if args.grid_option else opts
+
     def read(src):
         return read_source(spark, src, args.format, opts)
 
-    grid = read(args.grid) if args.grid else union_sexes(read(args.grid_female), read(args.grid_male))
+    def read_grid(src):
+        return read_source(spark, src, args.grid_format or args.format, grid_opts)
+
+    grid = (read_grid(args.grid) if args.grid
+            else union_sexes(read_grid(args.grid_female), read_grid(args.grid_male)))
     out = run_zscore_job(
         read(args.measurement), read(args.person), grid, args.out, table=args.write_table,
         explain_only=args.compile, measurement_concept_id=args.measurement_concept_id,

@@ -69,6 +69,11 @@ def test_cli_writes_and_compiles(spark, stored, capsys):
     assert cli_main(args_tab[:-2] + ["--compile"]) == 0
     assert "== Physical Plan ==" in capsys.readouterr().out
     assert cli_main(["--measurement", "x", "--person", "y"]) == 2
+    # per-sex CSV grids (strings, as published) next to parquet tables
+    out2 = scratch_path(spark, "cli-out-csv")
+    assert cli_main(args[:8] + ["--format", "parquet", "--grid-format", "csv",
+                                "--grid-option", "header=true", "--out", out2]) == 0
+    assert sorted(read_zscores(spark, out2).collect()) == sorted(read_zscores(spark, out).collect())
 
 
 def test_bucketed_tables_join_without_exchange(spark):
