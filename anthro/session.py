@@ -39,7 +39,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -50,6 +49,9 @@ def _is_local(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
+    Called lazily, only by code that writes scratch data (round-trip check,
+    stream output and checkpoints); the batch job itself needs none.
+
     ``spark.checkpoint.dir`` is read from the session.  Only when it is
     unset *and* Spark runs in local mode (tests, bench) a scratch folder is
     created and set; on a cluster an unset value is an error, since a
@@ -67,7 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "(HDFS/S3/ABFS) before running the z-score job on a cluster")
     d = tempfile.mkdtemp(prefix="anthro-ckpt-")
     sc.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
+    try:
+        spark.conf.set("spark.checkpoint.dir", d)
+    except Exception:  # a session may refuse to change a core setting; the context has it
+        pass
     return sc.getCheckpointDir() or d
 
 
