@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from anthro.operators.bracket import Brackets, build_brackets
+from anthro.operators.bracket import build_brackets
 from anthro.plans.zscore_job import bmi_zscore
 from anthro.session import scratch_path
 from anthro.sources.fixtures import measurement_from_orders, person_from_customer, read_table
@@ -72,4 +72,4 @@ def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     return spark.read.parquet(out)
 
 
-__all__ = ["Brackets", "run_zscore_stream", "start_zscore_stream"]
+__all__ = ["run_zscore_stream", "start_zscore_stream"]
