@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from anthro.operators.bracket import build_brackets
+from anthro.constants import DAYS_PER_MONTH
+from anthro.operators.day_table import build_day_table
 from anthro.plans.zscore_job import bmi_zscore
 from anthro.session import scratch_path
 from anthro.sources.fixtures import measurement_from_orders, person_from_customer, read_table
@@ -25,8 +26,8 @@ def start_zscore_stream(measurement: DataFrame, person: DataFrame, grid, out_pat
                         processing_time: str | None = None, **job_opts) -> StreamingQuery:
     """Start the job on a streaming ``measurement`` DataFrame.
 
-    ``grid`` may be a grid or prebuilt :class:`Brackets` (built once,
-    reused by every micro-batch).
+    ``grid`` may be a grid or a prebuilt lookup table (``DayTable`` or
+    ``Brackets``), built once and reused by every micro-batch.
     """
     if not measurement.isStreaming:
         raise ValueError("measurement must be a streaming DataFrame")
@@ -61,10 +62,11 @@ def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
               .parquet(src))
     person = person_from_customer(read_table(spark, sf_dir, "customer"))
     grid = rule_grid(spark)
-    br = build_brackets(grid, k=job_opts.pop("neighbor_rank", 1))
+    table = build_day_table(grid, k=job_opts.pop("neighbor_rank", 1),
+                            days_per_month=job_opts.get("days_per_month", DAYS_PER_MONTH))
     out = out or scratch_path(spark, "zscore-stream-out")
     checkpoint = checkpoint or scratch_path(spark, "zscore-stream-ckpt")
-    q = start_zscore_stream(measurement_from_orders(stream), person, br, out, checkpoint,
+    q = start_zscore_stream(measurement_from_orders(stream), person, table, out, checkpoint,
                             **job_opts)
     q.awaitTermination()
     if q.exception():
