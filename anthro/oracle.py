@@ -263,6 +263,7 @@ def oracle_sql() -> dict[str, str]:
     q["bmi_zscore_literal"] = records_sql(2, drop_null_keys=REJOIN_KEYS)
     q["zscore_by_site"] = records_sql(1, site=BY_SITE)
     q["zscore_hot_key_split"] = q["bmi_zscore"]
+    q["bmi_zscore_bracket"] = q["bmi_zscore"]
     q["write_roundtrip"] = q["bmi_zscore"]
     q["zscore_stream"] = q["bmi_zscore"]
     return q

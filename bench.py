@@ -26,6 +26,7 @@ from anthro.session import get_session  # noqa: E402
 HEADLINE = (
     "bmi_zscore",
     "bmi_zscore_literal",
+    "bmi_zscore_bracket",
     "measurement_cohort",
     "bracket_lookup",
     "bracket_lookup_rank2",
