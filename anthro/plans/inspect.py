@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import io
-import re
 
 from pyspark.sql import DataFrame
 
@@ -16,8 +15,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
         df.explain(mode=mode)
     return buf.getvalue()
 
-
-def count_nodes(plan: str, name: str) -> int:
-    """Occurrences of an operator name in the tree part of a formatted plan."""
-    tree = plan.split("\n\n(1)")[0]
-    return len(re.findall(rf"\b{re.escape(name)}\b", tree))
