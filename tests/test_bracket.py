@@ -83,16 +83,31 @@ def test_equals_brute_force(spark, xs, seed, k):
                 assert got == brute(grid_rows, xs, k, how, sides), (width, how, sides)
 
 
-def test_salted_path_equals_broadcast(spark, xs):
+@pytest.mark.parametrize("k,how", [(1, "left"), (2, "inner"), (3, "left")])
+def test_salted_path_equals_broadcast(spark, xs, k, how):
     grid = grid_from_rows(spark, random_grid(random.Random(7)))
     df = spark.createDataFrame(xs, "id long, gender string, x double")
-    a = bracket_lookup(df, build_brackets(grid, k=1), axis="x", how="left")
-    br = build_brackets(grid, k=1, max_broadcast_rows=0, salt=5)
+    a = bracket_lookup(df, build_brackets(grid, k=k), axis="x", how=how)
+    br = build_brackets(grid, k=k, max_broadcast_rows=0, salt=5)
     assert not br.broadcast and br.salt == 5
-    b = bracket_lookup(df, br, axis="x", how="left")
+    b = bracket_lookup(df, br, axis="x", how=how)
     assert _key(a.collect()) == _key(b.collect())
 
 
+def test_argument_checks(spark):
+    grid = grid_from_rows(spark, [("male", 1.0, 1, 1, 1), ("male", 2.0, 1, 1, 1)])
+    with pytest.raises(ValueError):
+        build_brackets(grid, k=0)
+    with pytest.raises(ValueError):
+        build_brackets(grid, width=-1.0)
+    df = spark.createDataFrame([(1, "male", 1.5)], "id long, gender string, x double")
+    br = build_brackets(grid)
+    with pytest.raises(ValueError):
+        bracket_lookup(df, br, axis="x", how="right")
+    with pytest.raises(ValueError):
+        bracket_lookup(df, br, axis="x", sides="middle")
+
+
 def test_size_bound_holds(spark):
     grid = grid_from_rows(spark, random_grid(random.Random(11)))
     for width in (None, 0.5, 7.0):

@@ -74,6 +74,10 @@ def test_cli_writes_and_compiles(spark, stored, capsys):
     assert cli_main(args[:8] + ["--format", "parquet", "--grid-format", "csv",
                                 "--grid-option", "header=true", "--out", out2]) == 0
     assert sorted(read_zscores(spark, out2).collect()) == sorted(read_zscores(spark, out).collect())
+    # the original job as it runs: second-nearest brackets, NULL keys lost
+    out3 = scratch_path(spark, "cli-out-literal")
+    assert cli_main(args_tab[:-1] + [out3, "--neighbor-rank", "2", "--drop-null-rejoin-keys"]) == 0
+    assert read_zscores(spark, out3).count() == 754
 
 
 def test_bucketed_tables_join_without_exchange(spark):
