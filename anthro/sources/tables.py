@@ -56,6 +56,13 @@ def save_bucketed_by_person(df: DataFrame, table: str, buckets: int, *,
     exchange on either side -- the one shuffle of the job at scale is paid
     once, at write time, instead of on every run.  Pick ``buckets`` so a
     bucket of the larger table is a few hundred MB.
+
+    Trade-off: without a shuffle there is no stage for AQE to split, and a
+    salt column does not force one (bucketing on ``person_id`` already
+    satisfies the salted join's clustering).  A person who owns a large
+    share of the rows then stays in one bucket's task.  Use bucketing for
+    tables without such a person; otherwise keep the shuffled join, where
+    AQE or ``hot_key_fraction`` splits the hot key.
     """
     (df.write.mode(mode).format(fmt).bucketBy(int(buckets), "person_id")
      .sortBy("person_id").saveAsTable(table))
