@@ -5,6 +5,7 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from anthro.functions.lms import is_valid_z, lms_zscore
 from anthro.operators.bracket import bracket_lookup, build_brackets, interpolate
@@ -73,3 +74,31 @@ def test_check_unique(spark):
     check_unique(m, "measurement_id")
     with pytest.raises(DuplicateKeyError):
         check_unique(m.unionByName(m.limit(1)), "measurement_id")
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(steps=st.lists(st.integers(1, 12), min_size=2, max_size=30), start=st.integers(0, 60),
+       k=st.integers(1, 3))
+def test_day_table_equals_bracket_path(spark, steps, start, k):
+    """Random grids (half-month steps): the whole-day table and the per-row
+    bracket interpolation give the same rows, bit for bit."""
+    from anthro.operators.day_table import build_day_table, day_lookup
+    ages, a = [], start / 2.0
+    for s_ in steps:
+        ages.append(a)
+        a += s_ / 2.0
+    rows = [(g, x, -1.5 + x / 400.0, 14.0 + x / 20.0, 0.08 + x / 5000.0)
+            for g in ("male", "female") for x in ages]
+    grid = grid_from_rows(spark, rows)
+    span_days = int((ages[-1] + 3) * 30.44)
+    df = spark.range(0, span_days, 3).selectExpr(
+        "id",
+        "CASE WHEN id % 2 = 0 THEN 'male' ELSE 'female' END AS gender",
+        "CAST(DATE'2000-01-01' AS TIMESTAMP_NTZ) AS birth_datetime",
+        "CAST(date_add(DATE'2000-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ) AS measurement_datetime")
+    df = df.withColumn("age", F.datediff("measurement_datetime", "birth_datetime") / 30.44)
+    a_rows = day_lookup(df, build_day_table(grid, k=k), "measurement_datetime", "birth_datetime")
+    b_rows = interpolate(bracket_lookup(df, build_brackets(grid, k=k), axis="age"), "age",
+                         lower="lower_age", upper="upper_age")
+    cols = ["id", "lower_age", "upper_age", "l", "m", "s"]
+    assert sorted(a_rows.select(cols).collect()) == sorted(b_rows.select(cols).collect())
