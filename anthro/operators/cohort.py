@@ -39,7 +39,8 @@ def select_persons(person: DataFrame,
 def measurement_cohort(measurement: DataFrame, person: DataFrame, *,
                        concept_id: int = BMI_CONCEPT_ID,
                        days_per_month: float = DAYS_PER_MONTH,
-                       hot_key_fraction: float | None = None) -> DataFrame:
+                       hot_key_fraction: float | None = None,
+                       hot_key_strategy: str = "salt") -> DataFrame:
     """Selected measurements with sex and age in months (11 columns).
 
     Both sides are pruned to the columns used before the join.  The join on
@@ -47,14 +48,16 @@ def measurement_cohort(measurement: DataFrame, person: DataFrame, *,
     join when the filtered person side is measured small, else a sort-merge
     join whose skewed partitions AQE splits.  ``hot_key_fraction`` adds an
     explicit split of persons that own more than that fraction of the rows
-    (see :func:`join_with_hot_keys`).
+    (see :func:`join_with_hot_keys`; ``hot_key_strategy="split"`` for
+    inputs bucketed on ``person_id``).
     """
     m = select_measurements(measurement, concept_id).select(
         "measurement_id", "person_id", "value_as_number", "value_source_value",
         "measurement_datetime", "site_id", "provider_id", "visit_occurrence_id")
     p = select_persons(person).select("person_id", "gender_concept_id", "birth_datetime")
     if hot_key_fraction:
-        j = join_with_hot_keys(m, p, "person_id", hot_fraction=hot_key_fraction)
+        j = join_with_hot_keys(m, p, "person_id", hot_fraction=hot_key_fraction,
+                               strategy=hot_key_strategy)
     else:
         j = m.join(p, "person_id", "inner")
     return j.select(

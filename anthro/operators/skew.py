@@ -43,9 +43,14 @@ def find_hot_keys(df: DataFrame, key: str, hot_fraction: float) -> list:
     return [r[key] for r in top if r["__n"] >= hot_fraction * total]
 
 
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
 def join_with_hot_keys(big: DataFrame, small: DataFrame, key: str, *,
                        hot_fraction: float = 0.05, how: str = "inner",
-                       salt: int = 64, hot: list | None = None) -> DataFrame:
+                       salt: int = 64, hot: list | None = None,
+                       strategy: str = "salt",
+                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``big.join(small, key, how)`` with the hot keys of ``big`` salted.
 
     ``how`` is ``"inner"`` or ``"left"`` (rows of ``big`` are kept).  One
@@ -60,12 +65,26 @@ def join_with_hot_keys(big: DataFrame, small: DataFrame, key: str, *,
     * the join on ``(key, salt)`` spreads each hot key over ``salt`` tasks.
 
     The planner still picks broadcast or sort-merge from measured sizes.
+
+    ``strategy="split"`` is for inputs bucketed on ``key``, where there is
+    no shuffle to salt or for AQE to split: cold rows take the co-located
+    join unchanged, hot rows join a broadcast of the other side's hot rows
+    (counted first; at most ``max_broadcast_rows``, else the salted form is
+    used).  It reads ``big`` twice but never sends a hot key to one task.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if strategy not in ("salt", "split"):
+        raise ValueError("strategy must be 'salt' or 'split'")
     hot = find_hot_keys(big, key, hot_fraction) if hot is None else list(hot)
     if not hot:
         return big.join(small, key, how)
+    if strategy == "split":
+        is_hot = F.col(key).isin(hot)
+        small_hot = small.filter(is_hot)
+        if small_hot.count() <= max_broadcast_rows:
+            cold = big.filter(~is_hot | F.col(key).isNull()).join(small.filter(~is_hot), key, how)
+            return cold.unionByName(big.filter(is_hot).join(F.broadcast(small_hot), key, how))
     s = max(2, int(salt))
     is_hot = F.col(key).isin(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])

@@ -29,6 +29,7 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
                strict: bool = False,
                site: str | None = None,
                hot_key_fraction: float | None = None,
+               hot_key_strategy: str = "salt",
                method: str = "auto",
                require_unique_ids: bool = False,
                **bracket_opts) -> DataFrame:
@@ -52,7 +53,8 @@ def bmi_zscore(measurement: DataFrame, person: DataFrame, grid, *,
         check_unique(m, "measurement_id")
     cohort = measurement_cohort(m, person, concept_id=measurement_concept_id,
                                 days_per_month=days_per_month,
-                                hot_key_fraction=hot_key_fraction)
+                                hot_key_fraction=hot_key_fraction,
+                                hot_key_strategy=hot_key_strategy)
     if drop_null_keys:
         cohort = cohort.dropna(subset=list(drop_null_keys))
     withlms = lms_parameters(cohort, grid, k=neighbor_rank, days_per_month=days_per_month,

@@ -106,3 +106,25 @@ def test_bucketed_tables_join_without_exchange(spark):
         assert df.count() == 863
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_join_with_hot_person_split(spark):
+    """Bucketed tables, one person with a third of the rows: the split
+    strategy keeps the cold join co-located and broadcasts the hot rows."""
+    from anthro.operators.skew import join_with_hot_keys
+    m, p = fixture_tables(spark, SF0001)
+    hot = m.withColumn("person_id", F.when(F.col("measurement_id") % 3 == 0, F.lit(4))
+                       .otherwise(F.col("person_id")))
+    save_bucketed_by_person(hot, "bucketed_hot_measurement", 4)
+    save_bucketed_by_person(p, "bucketed_person_2", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bm, bp = spark.table("bucketed_hot_measurement"), spark.table("bucketed_person_2")
+        out = join_with_hot_keys(bm, bp, "person_id", hot_fraction=0.2, strategy="split")
+        tree = plan_text(out).split("\\n\\n(1)")[0]
+        assert "SortMergeJoin" in tree and "BroadcastHashJoin" in tree
+        assert [ln for ln in tree.splitlines() if "Exchange" in ln and "Broadcast" not in ln] == []
+        assert sorted(out.collect()) == sorted(bm.join(bp, "person_id").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
