@@ -47,6 +47,10 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--drop-null-rejoin-keys", action="store_true",
                    help="drop rows with a NULL in any of the nine re-join keys")
     p.add_argument("--strict", action="store_true", help="strict z-score guards")
+    p.add_argument("--hot-key-fraction", type=float,
+                   help="split persons owning more than this share of the rows")
+    p.add_argument("--hot-key-strategy", choices=["salt", "split"], default="salt",
+                   help="salt (one scan) or split (inputs bucketed on person_id)")
     p.add_argument("--compile", action="store_true", help="print the plan, write nothing")
     return p
 
@@ -83,7 +87,8 @@ def main(argv=None) -> int:
         zscore_concept_id=args.zscore_concept_id, days_per_month=args.days_per_month,
         version=args.version, label_prefix=args.label_prefix, neighbor_rank=args.neighbor_rank,
         drop_null_keys=REJOIN_KEYS if args.drop_null_rejoin_keys else (), strict=args.strict,
-        site=args.site)
+        site=args.site, hot_key_fraction=args.hot_key_fraction,
+        hot_key_strategy=args.hot_key_strategy)
     if out is not None:
         print(out)
     return 0

@@ -78,6 +78,9 @@ def test_cli_writes_and_compiles(spark, stored, capsys):
     out3 = scratch_path(spark, "cli-out-literal")
     assert cli_main(args_tab[:-1] + [out3, "--neighbor-rank", "2", "--drop-null-rejoin-keys"]) == 0
     assert read_zscores(spark, out3).count() == 754
+    out4 = scratch_path(spark, "cli-out-hot")
+    assert cli_main(args_tab[:-1] + [out4, "--hot-key-fraction", "0.001"]) == 0
+    assert sorted(read_zscores(spark, out4).collect()) == sorted(read_zscores(spark, out).collect())
 
 
 def test_bucketed_tables_join_without_exchange(spark):
