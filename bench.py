@@ -51,18 +51,31 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    failed = {}
     for name in HEADLINE:  # warm-up pass
-        _run(spark, name, sf_dir)
-    times = {name: round(statistics.median(_run(spark, name, sf_dir) for _ in range(runs)), 3)
-             for name in HEADLINE}
+        try:
+            _run(spark, name, sf_dir)
+        except Exception as exc:  # report it, keep the other numbers
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    times = {}
+    for name in HEADLINE:
+        if name in failed:
+            times[name] = None
+            continue
+        try:
+            times[name] = round(statistics.median(_run(spark, name, sf_dir) for _ in range(runs)), 3)
+        except Exception as exc:
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            times[name] = None
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "total_headline_query_time",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
