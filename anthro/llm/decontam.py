@@ -36,6 +36,7 @@ from anthro.llm.textnum import ALNUM_TABLE, Words
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
+BROADCAST_KEYS = 1_000_000
 
 INDEX_SCHEMA = "shard string, doc_ids array<bigint>, first binary, terms binary, counts binary, positions binary"
 RESULT_SCHEMA = ("doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, "
@@ -259,6 +260,19 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, share
     return _merge_blocks(index, bench, window, share, block_bytes)
 
 
+def keep_clean(docs: DataFrame, bench: DataFrame, window: int = WINDOW, share: int = 20, text_col: str = "text",
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns as they are.
+
+    Texts are named by their 64-bit hash, so null or repeated ids do not matter.
+    """
+    named = docs.select(F.xxhash64(F.col(text_col).cast("string")).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    bad = stage(contamination(named, bench, window, share, block_bytes).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    if bad.count() <= BROADCAST_KEYS:
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.xxhash64(F.col(text_col).cast("string")) == F.col("_bad"), "left_anti")
+
+
 def _fits(bench: DataFrame, block_bytes: int) -> bool:
     return (bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0) < block_bytes
 

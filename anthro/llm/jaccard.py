@@ -36,14 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anthro.llm.common import arrow_schema, column, row_ranges, stage
+from anthro.llm.common import arrow_schema, column, free_name, row_ranges, stage
 from anthro.llm.components import connected_components
-from anthro.llm.textnum import SPACE_TABLE, Words, distinct_per_row, mix, ngram_hashes
+from anthro.llm.textnum import SPACE_TABLE, Words, distinct_per_row, mix, ngram_hashes, slices
 
 SHINGLE = 3
 PERCENT = 90
 MOST_SHARED = 4           # largest l
 VERIFY_COST = 20          # list entries that one verification is worth
+CHANCE = 0.5              # partners that a rare shingle has by chance,
+SAME = 0.02               # and how often such a partner shares one more
 SKETCH_BITS = 20          # counters in each of the sketch's two rows: 2 ** 20
 SEGMENT = 1 << 14         # counters sent in one row
 BROADCAST_KEYS = 1_000_000
@@ -124,12 +126,17 @@ def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sket
 
 
 def choose_need(df: np.ndarray, n: int, least: int, most_shared: int = MOST_SHARED) -> int:
-    """The l whose prefix has the least estimated cost; ``df``: extra counts in prefix order."""
+    """The l whose prefix has the least estimated cost; ``df``: extra counts in prefix order.
+
+    Members of a list that is long beyond chance come again in the next lists, so l
+    divides them; partners by chance seldom do.
+    """
     best, cost = 1, None
     sums = np.cumsum(df)
     for need in range(1, min(most_shared, least) + 1):
-        entries = sums[min(n, n - least + need) - 1]
-        now = entries + VERIFY_COST * entries / need
+        size = min(n, n - least + need)
+        entries = sums[size - 1]
+        now = size + entries + VERIFY_COST * (entries / need + CHANCE * size * SAME ** (need - 1))
         if cost is None or now < cost:
             best, cost = need, now
     return best
@@ -157,10 +164,12 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, percent: int, te
             least = -(-percent * sizes // 100)
             take = np.minimum(sizes, sizes - least + 1)
             need = np.ones(n_rows, np.int64)
+            cold = np.zeros(int(take.max(initial=0)) + most_shared)
             any_hot = np.add.reduceat(np.append(extra, 0.0), np.minimum(first[:-1], len(extra))) > 0
-            for i in np.flatnonzero(any_hot & (sizes > 0)):
+            for i in np.flatnonzero(sizes > 0).tolist():
                 n, t = int(sizes[i]), int(least[i])
-                need[i] = choose_need(extra[first[i]:first[i] + min(n, n - t + most_shared)], n, t, most_shared)
+                df = extra[first[i]:first[i] + min(n, n - t + most_shared)] if any_hot[i] else cold[:min(n, n - t + most_shared)]
+                need[i] = choose_need(df, n, t, most_shared)
                 take[i] = min(n, n - t + need[i])
             for i, k in enumerate(keys.tolist()):
                 if k in seen:
@@ -182,8 +191,8 @@ def posting_lists(postings: DataFrame) -> DataFrame:
     return stage(postings.join(shared, "token").dropDuplicates(["token", "key"]), "lists")
 
 
-def member_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, shingles) of every set in a list: sorted 64-bit hashes as bytes; stored."""
+def member_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, shingles) of every set in a pair (a, b): sorted 64-bit hashes as bytes; stored."""
     out = "key bigint, shingles binary"
     arrow = arrow_schema(out)
 
@@ -196,7 +205,8 @@ def member_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([h[a:z].tobytes() for a, z in zip(edges, edges[1:], strict=False)], pa.binary())],
                                              schema=arrow)
 
-    ids = sets.join(lists.select("key").distinct(), "key").groupBy("key").agg(F.min("doc_id").alias("rep")).select("rep").distinct()
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    ids = sets.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("rep")).select("rep").distinct()
     ids = stage(ids, "members")
     if ids.count() <= BROADCAST_KEYS:
         ids = F.broadcast(ids)
@@ -205,6 +215,13 @@ def member_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int
     return stage(chosen.mapInArrow(run, out).dropDuplicates(["key"]), "member-sets")
 
 
+def _matches(x: DataFrame, y: DataFrame, percent: int, apart: str) -> DataFrame:
+    """Pairs (a, b) of list entries that share at least the lesser need of them."""
+    return (x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token")).where(f"{apart} and {_allowed(percent)}")
+            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"), F.least("x.need", "y.need").alias("need"))
+            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b"))
+
+
 def verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; stored."""
     out = "a bigint, b bigint"
@@ -235,30 +252,59 @@ def links(docs: DataFrame, sets: DataFrame, sketch: np.ndarray, shingle: int, pe
           most_shared: int = MOST_SHARED) -> tuple[DataFrame, DataFrame]:
     """Similar pairs of distinct sets that join the same components as all of them; and those components."""
     lists = posting_lists(prefixes(docs, sketch, shingle, percent, text_col, most_shared))
-    members = member_sets(docs, sets, lists, shingle, id_col, text_col)
-    hubs = lists.where("key = hub")
-    tried = stage(hubs.alias("x").join(lists.where("key != hub").alias("y"), F.col("x.token") == F.col("y.token")).where(_allowed(percent))
-                  .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct(), "hub-pairs")
-    found = verify(tried, members, percent)
+    # A hub that is not the least key in all lists it shares is undercounted here; the second step misses nothing.
+    tried = stage(_matches(lists.where("key = hub"), lists.where("key != hub"), percent, "true"), "hub-pairs")
+    found = verify(tried, member_sets(docs, sets, tried, shingle, id_col, text_col), percent)
     roots = connected_components(found)
     placed = lists.join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
     open_lists = stage(placed.join(mixed, "token", "left_semi"), "open-lists")
-    across = (open_lists.alias("x").join(open_lists.alias("y"), F.col("x.token") == F.col("y.token"))
-              .where(f"x.root < y.root and {_allowed(percent)}")
-              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"), F.least("x.need", "y.need").alias("need"))
-              .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b"))
-    more = verify(across.join(tried, ["a", "b"], "left_anti"), members, percent)
+    across = stage(_matches(open_lists, open_lists, percent, "x.root < y.root").join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = verify(across, member_sets(docs, sets, across, shingle, id_col, text_col), percent)
     every = found.unionByName(more)
     return every, connected_components(every)
 
 
+def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
+           most_shared: int = MOST_SHARED, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """(doc_id, key, n, root) of every document, stored: rows of one root are one group."""
+    sets, sketch = shingle_sets(docs, shingle, id_col, text_col, sketch_bits)
+    _, roots = links(docs, sets, sketch, shingle, percent, id_col, text_col, most_shared)
+    return stage(sets.join(roots.withColumnRenamed("vertex", "key"), "key", "left").select("doc_id", "key", "n", F.coalesce("root", "key").alias("root")), "groups")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
                     most_shared: int = MOST_SHARED, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id it reaches by links)."""
-    sets, sketch = shingle_sets(docs, shingle, id_col, text_col, sketch_bits)
-    _, roots = links(docs, sets, sketch, shingle, percent, id_col, text_col, most_shared)
-    rooted = sets.join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = groups(docs, shingle, percent, id_col, text_col, most_shared, sketch_bits)
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return (rooted.join(least, "root", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the least id (null ids last), then set key; rows without words all stay."""
+    rooted = groups(docs, shingle, percent, id_col, text_col).where("n > 0")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    losers = stage(rooted.join(first, "root").where("not (doc_id <=> first.doc_id and key = first.key)").select("doc_id", F.col("key").alias("lost")).distinct(), "losers")
+    if losers.count() <= BROADCAST_KEYS:
+        losers = F.broadcast(losers)
+    key = free_name(docs, "_set_key")
+
+    @F.pandas_udf("long")
+    def set_key(texts):
+        import pandas as pd
+
+        t = pa.array(texts, pa.string(), from_pandas=True)
+        out = [np.zeros(0, np.int64)]
+        for lo, hi in slices(t):
+            h, r, n_rows = _sets(t.slice(lo, hi - lo), shingle)
+            k, n = set_keys(*distinct_per_row(h, r), n_rows)
+            out.append(np.where(n > 0, k, 0))
+        return pd.Series(np.concatenate(out))
+
+    keyed = docs.withColumn(key, set_key(F.col(text_col).cast("string")))
+    kept = keyed.join(losers, F.col(id_col).cast("long").eqNullSafe(losers["doc_id"]) & (F.col(key) == F.col("lost")), "left_anti")
+    if not rooted.groupBy("doc_id", "key").count().where("count > 1").isEmpty():  # repeated rows: one of each stays
+        kept = kept.where(F.col(key) == 0).unionByName(kept.where(F.col(key) != 0).dropDuplicates([id_col, key]))
+    return kept.drop(key)

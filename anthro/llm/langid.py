@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anthro.llm.common import arrow_schema, column, row_ranges, stage
-from anthro.llm.textnum import Words, byte_table
+from anthro.llm.textnum import Words, byte_table, mix
 
-MAX_DOCS = 4_000
+MAX_DOCS = 2_000
 MAX_UNITS = 60_000
 MAX_CELLS = 20_000_000     # units times languages
 LONGEST = 5
@@ -40,28 +40,55 @@ LETTERS = byte_table({b for b in range(128) if not (65 <= b <= 90 or 97 <= b <=
 _WORD = r"[\p{L}\p{M}]+"
 
 
+def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hash of every run of ``n`` characters, from code points."""
+    m = max(0, len(codes) - n + 1)
+    acc = codes[:m].copy()
+    for k in range(1, n):
+        acc *= np.uint64(0x9E3779B97F4A7C15)
+        acc += codes[k:m + k]
+    return mix(acc + np.uint64(n))
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
 class Model:
     """Languages, and log10 relative frequencies of words and of n-grams (one row per unit)."""
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
+    def __init__(self, langs: list[str], units: list[tuple[np.ndarray, np.ndarray]]):
+        """``units``: hashes and scores, sorted by hash, of words and then of n-grams for n = 1, 2, ..."""
         self.langs = langs
-        names = sorted(words)
-        hashes = Words(pa.array(names, pa.string()), LETTERS).hash if names else np.zeros(0, np.uint64)
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.scores = np.array([words[names[i]] for i in order], np.float32).reshape(len(names), len(langs))
-        self.grams = grams
+        (self.hashes, self.scores), *self.grams = units
         self._seen: dict[int, np.ndarray] = {}
-        self._flat = np.full(len(langs), -PENALTY, np.float32)
 
-    def unseen(self, word: str) -> np.ndarray:
-        marked = f" {word} "
-        for n in range(min(LONGEST, len(marked)), 0, -1):
-            known = self.grams[n - 1]
-            found = [known[g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in known]
-            if found:
-                return np.mean(found, axis=0)
-        return self._flat
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores of words that are not in the model: the mean over the known n-grams of the longest n that has any."""
+        marked = [f" {w} " for w in words]
+        codes = code_points("".join(marked))
+        size = np.array([len(m) for m in marked])
+        start = np.cumsum(size) - size
+        out = np.full((len(words), len(self.langs)), -PENALTY, np.float32)
+        todo = np.arange(len(words))
+        for n in range(LONGEST, 0, -1):
+            known, scores = self.grams[n - 1]
+            now = todo[size[todo] >= n]
+            if not len(now) or not len(known):
+                continue
+            many = size[now] - n + 1
+            word = np.repeat(np.arange(len(now)), many)
+            at = start[now][word] + np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+            h = gram_hashes(codes, n)[at]
+            place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[place] == h
+            word, place = word[hit], place[hit]
+            found = np.bincount(word, minlength=len(now))
+            some = found > 0
+            for k in range(len(self.langs)):
+                out[now[some], k] = (np.bincount(word, scores[place, k], len(now))[some] / found[some])
+            todo = np.setdiff1d(todo, now[some], assume_unique=True)
+        return out
 
     def word_scores(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """A row for each distinct word, and each word's row."""
@@ -70,14 +97,18 @@ class Model:
         known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
         out = np.empty((len(distinct), len(self.langs)), np.float32)
         out[known] = self.scores[at[known]]
+        new, where = [], []
         for i in np.flatnonzero(~known).tolist():
-            key = int(distinct[i])
-            row = self._seen.get(key)
+            row = self._seen.get(int(distinct[i]))
             if row is None:
-                row = self.unseen(words.word(first[i]).decode())
-                if len(self._seen) < CACHED_WORDS:
-                    self._seen[key] = row
-            out[i] = row
+                new.append(words.word(first[i]).decode())
+                where.append(i)
+            else:
+                out[i] = row
+        if new:
+            out[where] = self.unseen(new)
+            for i in where[:max(0, CACHED_WORDS - len(self._seen))]:
+                self._seen[int(distinct[i])] = out[i].copy()
         return out, inverse
 
     def predict(self, texts: pa.Array) -> tuple[list, np.ndarray]:
@@ -93,14 +124,36 @@ class Model:
         return [self.langs[i] for i in best], (p / p.sum(axis=1, keepdims=True)).max(axis=1)
 
 
-def _relative(counts: dict[str, dict[int, int]], totals: np.ndarray) -> dict[str, np.ndarray]:
-    out = {}
-    for unit, per in counts.items():
-        row = np.full(len(totals), -PENALTY)
-        for k, c in per.items():
-            row[k] = max(-PENALTY, np.log10(c / totals[k]))
-        out[unit] = row.astype(np.float32)
-    return out
+def _unit_counts(words: DataFrame) -> DataFrame:
+    """(size, lang, unit, n): counts of words (size 0) and of n-grams (size n), by hash, from (lang, unit, n); stored."""
+    out = "size int, lang string, unit bigint, n bigint"
+    arrow = arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs, n, names = column(b, "lang").to_pylist(), np.asarray(column(b, "n")), column(b, "unit").to_pylist()
+            hashes = Words(pa.array(names, pa.string()), LETTERS)
+            lang_no = {x: k for k, x in enumerate(sorted(set(langs)))}
+            lang = np.array([lang_no[x] for x in langs])
+            marked = [f" {x} " for x in names]
+            codes = code_points("".join(marked))
+            size = np.array([len(m) for m in marked])
+            start = np.cumsum(size) - size
+            parts = [(0, hashes.hash, hashes.doc)]
+            for k in range(1, LONGEST + 1):
+                many = np.maximum(size - k + 1, 0)
+                word = np.repeat(np.arange(len(size)), many)
+                at = start[word] + np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+                parts.append((k, gram_hashes(codes, k)[at], word))
+            for k, unit, word in parts:
+                for name, no in lang_no.items():
+                    mine = lang[word] == no
+                    u, inverse = np.unique(unit[mine], return_inverse=True)
+                    c = np.bincount(inverse, n[word[mine]], len(u)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), k, np.int32)), pa.array([name] * len(u), pa.string()),
+                                                      pa.array(u.view(np.int64)), pa.array(c)], schema=arrow)
+
+    return stage(words.mapInArrow(run, out).groupBy("size", "lang", "unit").agg(F.sum("n").alias("n")), "lang-units")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -110,31 +163,33 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                       F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     per_lang = {r.lang: r.n for r in src.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(per_lang, key=lambda x: (-per_lang[x], x))
+    none = np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32)
     if not langs:
-        return Model([], {}, [{} for _ in range(LONGEST)])
+        return Model([], [none] * (LONGEST + 1))
     units = max(100, min(max_units, MAX_CELLS // ((LONGEST + 1) * len(langs))))
     share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, max_docs / per_lang[x]))) for x in langs])
     chosen = src.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
     words = (chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))).alias("unit"))
              .groupBy("lang", "unit").agg(F.count("*").alias("n")))
-    words = stage(words, "lang-words")
-    grams = words.select("lang", "n", F.explode(F.expr(
-        f"flatten(transform(sequence(1, {LONGEST}), k -> transform("
-        "sequence(1, greatest(1, length(unit) + 3 - k)), i -> substring(concat(' ', unit, ' '), i, k))))")).alias("unit"))
-    grams = grams.where(F.length("unit") > 0).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
-
-    def top(table: DataFrame) -> dict[str, dict[int, int]]:
-        best = (table.groupBy("unit").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("per"))
-                .orderBy(F.desc("all"), "unit").limit(units))  # at most units rows, a count per language
-        return {r.unit: {langs.index(k): v for k, v in r.per.items()} for r in best.collect()}
-
-    def totals(table: DataFrame) -> np.ndarray:
-        n = {r.lang: r.n for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        return np.array([n.get(x, 1) for x in langs], float)
-
-    grams = stage(grams, "lang-grams")
-    by_length = [grams.where(F.length("unit") == n) for n in range(1, LONGEST + 1)]
-    return Model(langs, _relative(top(words), totals(words)), [_relative(top(g), totals(g)) for g in by_length])
+    counted = _unit_counts(words)
+    totals = {(r["size"], r.lang): r.n for r in counted.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
+    row = counted.groupBy("size", "unit").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n"))).alias(f"n{k}") for k, x in enumerate(langs)],
+                                              F.sum("n").alias("all"))
+    row = stage(row, "lang-rows")
+
+    def top(size: int) -> tuple[np.ndarray, np.ndarray]:
+        best = row.where(F.col("size") == size).orderBy(F.desc("all"), "unit").limit(units).drop("size", "all").toArrow()  # units rows
+        if not best.num_rows:
+            return none
+        unit = np.asarray(best["unit"]).view(np.uint64)
+        score = np.full((len(unit), len(langs)), -PENALTY, np.float32)
+        for k, x in enumerate(langs):
+            n = np.asarray(best[f"n{k}"].fill_null(0), float)
+            score[n > 0, k] = np.maximum(-PENALTY, np.log10(n[n > 0] / totals.get((size, x), 1)))
+        order = np.argsort(unit)
+        return unit[order], score[order]
+
+    return Model(langs, [top(k) for k in range(LONGEST + 1)])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,18 +8,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anthro.llm import decontam, jaccard, langid, packing
+import corpus_pipeline
+from anthro.llm import bloom_lm, decontam, jaccard, langid, licenses, mincut_html, packing, pii, simhash, toxicity
 from anthro.llm.common import hash_share, read_table
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    share = hash_share(F.col("doc_id"), 7)
+    return bloom_lm.train_and_score(docs, share != 2, share == 2)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return mincut_html.extract(pages, mincut_html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+PII_KEY = "surrogates of this corpus"
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymise(read_table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_private")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.train(docs.where(hash_share(F.col("doc_id"), 5) != 0))
@@ -27,16 +50,33 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(hash_share(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_language_id": op3_language_id,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_html_extraction": op9_html_extraction,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
+#: Models, hashes, tokenisers and groups by reachability have no SQL form; tests/llm holds each query against brute force.
 ORACLE_SQL: dict[str, str] = {}

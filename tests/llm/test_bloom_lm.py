@@ -1,0 +1,102 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from anthro.llm import bloom_lm as B
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def tokens(t):
+    return [*WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")), "</s>"]
+
+
+def brute(docs):
+    learn = [t for d, t in docs if d is not None and zlib.crc32(str(d).encode()) % 7 != 2]
+    c = Counter(w for t in learn for w in tokens(t))
+    n, v = sum(c.values()), len(c)
+    out = {}
+    for d, t in docs:
+        w = tokens(t)
+        out[(d, t)] = (d is not None and zlib.crc32(str(d).encode()) % 7 == 2, len(w), sum(x in c for x in w), n,
+                       sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
+    return out
+
+
+def compare(rows, docs):
+    want = brute(docs)
+    assert len(rows) == len(docs)
+    by_id = {}
+    for (d, _), x in want.items():
+        by_id.setdefault(d, []).append(x)
+    for r in rows:
+        assert any((r.held_out, r.n_tokens, r.n_known, r.train_tokens) == x[:4] and abs(r.base_score - x[4]) < 1e-6 * max(1, abs(x[4]))
+                   for x in by_id[r.doc_id]), r
+        assert r.score <= 0
+
+
+DOCS = [(1, "The cat sat. The cat ran"), (2, None), (3, ""), (None, "zebra only here"), (5, "the CAT\tsat\non É é"), (5, "the CAT\tsat\non É é"),
+        (6, "word " * 60000), (7, "a\x0bb\x0cc\x1cd"), *[(i, f"the dog {i} ran w{i}") for i in range(8, 60)]]
+
+
+@pytest.mark.parametrize("head", [3, 1000])
+def test_base_score_is_exact(spark, head):
+    df = spark.createDataFrame([(d, t, 1.0) for d, t in DOCS], "doc_id bigint, text string, score double")
+    k = share()
+    compare(B.train_and_score(df, k != 2, k == 2, head_words=head).collect(), DOCS)
+
+
+def share():
+    from anthro.llm.common import hash_share
+
+    return hash_share(F.col("doc_id"), 7)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id bigint, text string")
+    assert B.train_and_score(df, share() != 2, share() == 2).count() == 0
+    one = spark.createDataFrame([(None, "a b")], "doc_id bigint, text string")
+    r = B.train_and_score(one, share() != 2, share() == 2).first()
+    assert (r.train_tokens, r.n_known, r.score) == (0, 0, 0.0)
+
+
+def test_filter_counts(spark):
+    rng = np.random.default_rng(1)
+    gram = rng.integers(-2**63, 2**63 - 1, 20000)
+    n = np.maximum(2, rng.zipf(1.5, 20000) % 100000)
+    df = spark.createDataFrame([(2, int(g), int(c)) for g, c in zip(gram, n)], "kind int, gram bigint, n bigint")
+    f = B.build_filter(df)
+    back = f.count(gram.view(np.uint64))
+    exact = B.count_of(B.level_of(n))
+    assert (back >= exact).all()                  # an error can only raise a count
+    assert np.mean(back == exact) > 0.85
+    assert (np.abs(exact - n) <= 0.25 * n + 0.5).all()
+    unseen = rng.integers(0, 2**63 - 1, 20000).astype(np.uint64)
+    assert np.mean(f.count(unseen) > 0) < 0.05
+    small = B.build_filter(df, max_bytes=8192)     # beyond the bound the rarest go first
+    assert len(small.bits) <= 8192
+    assert (small.count(gram[n > 1000].view(np.uint64)) >= B.count_of(B.level_of(n[n > 1000]))).all()
+
+
+def test_levels():
+    n = np.arange(1, 5000)
+    level = B.level_of(n)
+    assert (np.diff(level) >= 0).all() and level[0] == 1
+    for q in np.unique(level):
+        m = n[level == q]
+        if m[-1] < 4999:
+            assert B.count_of(np.array([q]))[0] == pytest.approx((m[0] + m[-1]) / 2)
+
+
+def test_whole_table(spark):
+    from anthro.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = QUERIES["op7_lm_scoring"](spark, sf).collect()
+    compare(rows, [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+    assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
