@@ -45,7 +45,7 @@ from anthro.llm.textnum import SPACE_TABLE, Words, mix
 BASE = 1.5                   # of the count levels
 PROBES = 3                   # bits for each level
 SEGMENT_BITS = 1 << 16       # of the filter; an n-gram's bits lie in one segment
-BITS_PER_GRAM = 24
+BITS_PER_LEVEL = 10          # a quarter of the bits get set
 MAX_BYTES = 48 << 20
 LEAST_PAIR = 2               # pairs seen once carry no count worth keeping
 HEAD_WORDS = 500_000
@@ -167,15 +167,16 @@ def count_of(level: np.ndarray) -> np.ndarray:
 
 def build_filter(counts: DataFrame, max_bytes: int = MAX_BYTES) -> Filter:
     """Fill the filter segment by segment, each in one task; only the bits come to the driver."""
-    sizes = {r.level: r.n for r in counts.groupBy(
-        F.when(F.col("kind") == 1, F.lit(0)).otherwise(F.least(F.col("n"), F.lit(1000))).alias("level")).agg(F.count("*").alias("n")).collect()}
-    room = max_bytes * 8 // BITS_PER_GRAM
+    level = F.floor(F.log(F.col("n").cast("double")) / float(np.log(BASE)) + 1e-9) + 1
+    sizes = {r.least: r.levels for r in counts.groupBy(
+        F.when(F.col("kind") == 1, F.lit(0)).otherwise(F.least(F.col("n"), F.lit(1000))).alias("least")).agg(F.sum(level).alias("levels")).collect()}
+    room = max_bytes * 8 // BITS_PER_LEVEL
     kept, least = sizes.pop(0, 0), 1001
     for n in sorted(sizes, reverse=True):
         if kept + sizes[n] > room:
             break
         kept, least = kept + sizes[n], n
-    total = min(max_bytes * 8, max(1, kept) * BITS_PER_GRAM)
+    total = min(max_bytes * 8, max(1, kept) * BITS_PER_LEVEL)
     segments = max(1, -(-total // SEGMENT_BITS))
     out = "segment int, raw binary"
     arrow = arrow_schema(out)

@@ -48,7 +48,7 @@ def _lanes(h: Column, tag: str) -> list[Column]:
 
 def vote_sums(h: Column) -> list[Column]:
     """Aggregates over a column of term hashes: 2 * 32 packed votes and the total weight."""
-    return [*_lanes(h, "_u"), *_lanes(F.xxhash64(h, F.lit(1)), "_v"), F.count(h).alias("_weight")]
+    return [*_lanes(h, "_u"), *_lanes(F.when(h.isNotNull(), F.xxhash64(h, F.lit(1))), "_v"), F.count(h).alias("_weight")]
 
 
 def _word(tag: str) -> Column:
@@ -56,7 +56,7 @@ def _word(tag: str) -> Column:
     lanes = F.array(*[F.coalesce(f"{tag}{i}", F.lit(0)) for i in range(LANES)])
     low = F.transform(lanes, lambda v, i: F.when(v.bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > F.col("_weight"), F.expr("1L")).otherwise(F.expr("0L")))
     high = F.transform(lanes, lambda v, i: F.when(F.shiftrightunsigned(v, 32) * 2 > F.col("_weight"), F.expr("1L")).otherwise(F.expr("0L")))
-    bits = F.concat(high, low)  # most significant first
+    bits = F.reverse(F.concat(low, high))  # most significant first
     return F.aggregate(bits, F.expr("0L"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(x))
 
 

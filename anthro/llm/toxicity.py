@@ -2,8 +2,8 @@
 
 P(grade > k | x) = sigmoid(w.x - theta_k), with one weight vector for all
 thresholds theta_0 <= theta_1 <= ...; the expected grade is the sum of these
-probabilities.  Features are a text's distinct words and word beginnings (4, 5
-and 6 bytes), as 64-bit hashes: invented or inflected forms share beginnings.
+probabilities.  Features are a text's distinct words and word beginnings (4 to
+8 bytes), as 64-bit hashes: invented or inflected forms share beginnings.
 
 Training uses at most about ``max_docs`` labelled texts (chosen by a hash of the
 id, one share for each grade).  Features are counted for each grade by Spark;
@@ -39,7 +39,8 @@ LEAST_TEXTS = 4           # training texts that a feature must be in
 SEVERE = 3
 RIDGE = 0.003
 STEPS = 300
-BEGINNINGS = (4, 5, 6)
+REJECT = 0.35             # P(grade > 0) from which a text counts as toxic
+BEGINNINGS = (4, 5, 6, 7, 8)
 LETTERS = byte_table({b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122)})
 
 
@@ -211,8 +212,8 @@ def train(rows: DataFrame, max_features: int = MAX_FEATURES) -> Model:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, severity, p_toxic, grade): expected grade, P(grade > 0), likeliest grade."""
-    out = "doc_id bigint, severity double, p_toxic double, grade int"
+    """(doc_id, severity, p_toxic, grade, toxic): expected grade, P(grade > 0), likeliest grade, verdict."""
+    out = "doc_id bigint, severity double, p_toxic double, grade int, toxic boolean"
     arrow = arrow_schema(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -221,7 +222,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             p = sent.value.exceed(column(b, "text"))
             full = np.concatenate([np.ones((b.num_rows, 1)), p, np.zeros((b.num_rows, 1))], axis=1)
             yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(p.sum(axis=1)), pa.array(full[:, 1]),
-                                              pa.array((full[:, :-1] - full[:, 1:]).argmax(axis=1).astype(np.int32))], schema=arrow)
+                                              pa.array((full[:, :-1] - full[:, 1:]).argmax(axis=1).astype(np.int32)),
+                                              pa.array(full[:, 1] >= REJECT)], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, out)
 
@@ -231,7 +233,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_docs
     return train(grades_from_labels(training_rows(docs, labels, label_col, max_docs)))
 
 
-def keep_clean(docs: DataFrame, model: Model, most: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, model: Model, most: float = REJECT, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose P(grade > 0) is below ``most``; all columns as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
