@@ -4,7 +4,9 @@
         --person db.person --grid db.bmi_child --out s3://bucket/bmiz [--site S]
 
 Sources are catalog tables by default (``--format parquet`` etc. for
-paths); the grid is one table ``(gender, age, l, m, s)`` or two per-sex
+paths), with ``--measurement-format``/``--measurement-option`` and the same
+for the person to set one input apart; CSV and JSON inputs get the job's
+declared types.  The grid is one table ``(gender, age, l, m, s)`` or two per-sex
 tables ``(age, l, m, s)`` via ``--grid-female`` / ``--grid-male``.  The
 output is written partitioned by ``site_id`` to ``--out`` (path) or
 ``--write-table``.  ``--compile`` prints the physical plan and writes
@@ -31,6 +33,14 @@ def build_parser() -> argparse.ArgumentParser:
                    help="table | parquet | orc | csv | jdbc (for the three inputs)")
     p.add_argument("--option", action="append", default=[], metavar="K=V",
                    help="reader option, e.g. url=jdbc:... (repeatable)")
+    for name in ("measurement", "person"):
+        p.add_argument(f"--{name}-format", help=f"format of the {name} input if it differs")
+        p.add_argument(f"--{name}-option", action="append", default=[], metavar="K=V",
+                       help=f"reader option for the {name} input alone (repeatable)")
+    p.add_argument("--person-one-task", action="store_true",
+                   help="allow an unpartitioned JDBC read of the person table")
+    p.add_argument("--rebalance", action="store_true",
+                   help="shuffle the output by site into few, well-sized files")
     p.add_argument("--grid-format", help="format of the grid input(s) if it differs, e.g. csv")
     p.add_argument("--grid-option", action="append", default=[], metavar="K=V",
                    help="reader option for the grid, e.g. header=true (repeatable)")
@@ -66,24 +76,27 @@ def main(argv=None) -> int:
     from anthro.plans.zscore_job import run_zscore_job
     from anthro.session import get_session
     from anthro.sources.grids import union_sexes
-    from anthro.sources.tables import read_source
+    from anthro.sources.tables import MEASUREMENT_SCHEMA, PERSON_SCHEMA, read_source
 
     spark = get_session()
     opts = dict(o.split("=", 1) for o in args.option)
 
     grid_opts = dict(o.split("=", 1) for o in args.grid_option) if args.grid_option else opts
 
-    def read(src):
-        return read_source(spark, src, args.format, opts)
+    def read(src, fmt, own, schema, one_task=False):
+        return read_source(spark, src, fmt or args.format, opts | dict(o.split("=", 1) for o in own), schema, one_task)
 
     def read_grid(src):
-        return read_source(spark, src, args.grid_format or args.format, grid_opts)
+        return read_source(spark, src, args.grid_format or args.format, grid_opts, one_task=True)
+
+    measurement = read(args.measurement, args.measurement_format, args.measurement_option, MEASUREMENT_SCHEMA)
+    person = read(args.person, args.person_format, args.person_option, PERSON_SCHEMA, args.person_one_task)
 
     grid = (read_grid(args.grid) if args.grid
             else union_sexes(read_grid(args.grid_female), read_grid(args.grid_male)))
     out = run_zscore_job(
-        read(args.measurement), read(args.person), grid, args.out, table=args.write_table,
-        explain_only=args.compile, measurement_concept_id=args.measurement_concept_id,
+        measurement, person, grid, args.out, table=args.write_table,
+        explain_only=args.compile, rebalance=args.rebalance, measurement_concept_id=args.measurement_concept_id,
         zscore_concept_id=args.zscore_concept_id, days_per_month=args.days_per_month,
         version=args.version, label_prefix=args.label_prefix, neighbor_rank=args.neighbor_rank,
         drop_null_keys=REJOIN_KEYS if args.drop_null_rejoin_keys else (), strict=args.strict,

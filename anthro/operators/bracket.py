@@ -36,9 +36,8 @@ from anthro.sources.grids import validate_grid
 _G, _B, _PT, _FROM, _TO, _SALT, _XB = ("__br_group", "__br_bucket", "__br_point",
                                         "__br_from", "__br_to", "__br_salt", "__br_xbucket")
 
-# A bracket row holds a few doubles and the group label; 500k rows stay far
-# below the broadcast limits of a driver and an executor.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# Largest lookup table that is broadcast, by its proven size in bytes.
+DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
 # Grids up to this many rows are windowed in one task instead of a shuffle.
 SINGLE_TASK_GRID_ROWS = 200_000
 
@@ -75,6 +74,20 @@ class Brackets:
         return f"{v}_hi"
 
 
+def table_row_bytes(n_columns: int, label_bytes: int) -> int:
+    """Bytes of a row of a lookup table in a hash relation: eight per column and
+    label word, plus the row's header and its place in the map."""
+    return 8 * (n_columns + 1) + 8 * (-(-label_bytes // 8)) + 64
+
+
+def refuse_clash(df: DataFrame, new) -> None:
+    """Raise if a column to be added exists already (the caller's data would be lost or ambiguous)."""
+    have = {c.lower() for c in df.columns}
+    clash = [c for c in new if c.lower() in have]
+    if clash:
+        raise ValueError(f"the input already has column(s) {', '.join(clash)}; rename them first")
+
+
 def _q(name: str) -> str:
     """A column name quoted for a SQL expression."""
     return "`" + name.replace("`", "``") + "`"
@@ -97,7 +110,8 @@ def _bucket(x: Column, width: float, lo: float, hi: float) -> Column:
 
 def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
                    values=("l", "m", "s"), k: int = 1, width: float | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_broadcast_rows: int | None = None,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                    salt: int = 16, stats: dict | None = None) -> Brackets:
     """Validate ``grid`` and build the bracket table for neighbour rank ``k``.
 
@@ -110,8 +124,9 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
 
     The table size is bounded *before* it is built:
     ``rows <= 2 * n + n_groups * (2 + (max - min) / width)``.
-    It is broadcast only when that bound is at most ``max_broadcast_rows``;
-    otherwise the lookup is a shuffled equi-join on (group, bucket) with
+    It is broadcast only when that bound, times the bytes of a row, is at most
+    ``max_broadcast_bytes`` (and the rows at most ``max_broadcast_rows``, if
+    given); otherwise the lookup is a shuffled equi-join on (group, bucket) with
     the input side salted ``salt`` ways so a hot bucket does not land in one
     task.
     """
@@ -126,7 +141,8 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
     if not (width > 0 and math.isfinite(width)):
         raise ValueError("bucket width must be a positive number")
     max_rows = int(2 * n + n_groups * (2 + math.floor(span / width) + 1))
-    broadcast = max_rows <= max_broadcast_rows
+    row_bytes = table_row_bytes(5 + 2 * (1 + len(values)), st.get("label_bytes", 64))
+    broadcast = max_rows * row_bytes <= max_broadcast_bytes and (max_broadcast_rows is None or max_rows <= max_broadcast_rows)
     salt = 1 if broadcast else max(1, int(salt))
 
     # Expressions are written as SQL text (selectExpr): one driver-to-JVM
@@ -207,6 +223,7 @@ def bracket_lookup(df: DataFrame, br: Brackets, group: str | None = None,
     if sides in ("both", "upper"):
         keep += [upper_c] + [br.hi(v) for v in br.values]
 
+    refuse_clash(df, keep)
     b = br.df
     if how == "inner":
         need = [lower_c] if sides == "lower" else [upper_c] if sides == "upper" else [lower_c, upper_c]
@@ -252,5 +269,6 @@ def interpolate(df: DataFrame, axis: str, values=("l", "m", "s"),
         f"CASE WHEN {hi} = {lo} THEN {_q(v + '_lo')} "
         f"ELSE {_q(v + '_lo')} + {frac} * ({_q(v + '_hi')} - {_q(v + '_lo')}) END AS {_q(v)}"
         for v in values)
-    rest = [_q(c) for c in df.columns if c not in values]
+    refuse_clash(df, values)
+    rest = [_q(c) for c in df.columns]
     return df.selectExpr(*rest, f"inline(array(struct({interpolated})))")

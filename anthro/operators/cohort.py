@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from anthro.constants import (BMI_CONCEPT_ID, DAYS_PER_MONTH, DERIVED_TYPE_CONCEPT_ID,
                               FEMALE_CONCEPT_ID, MALE_CONCEPT_ID, UNIT_KG_PER_M2)
 from anthro.functions.codes import gender_decode
-from anthro.functions.dates import age_in_months
+from anthro.functions.dates import DAYS_PER_MONTH_KEY, age_in_months
 from anthro.operators.skew import join_with_hot_keys
 
 
@@ -43,8 +43,12 @@ def measurement_cohort(measurement: DataFrame, person: DataFrame, *,
                        hot_key_strategy: str = "salt") -> DataFrame:
     """Selected measurements with sex and age in months (11 columns).
 
-    Both sides are pruned to the columns used before the join.  The join on
-    ``person_id`` is left to the planner: with AQE it becomes a broadcast
+    The join is on ``(site_id, person_id)`` when ``person`` carries
+    ``site_id``, so sites may use the same person ids; otherwise on
+    ``person_id``, and persons are taken to be common to all sites.
+
+    Both sides are pruned to the columns used before the join.  The join
+    is left to the planner: with AQE it becomes a broadcast
     join when the filtered person side is measured small, else a sort-merge
     join whose skewed partitions AQE splits.  ``hot_key_fraction`` adds an
     explicit split of persons that own more than that fraction of the rows
@@ -54,18 +58,20 @@ def measurement_cohort(measurement: DataFrame, person: DataFrame, *,
     m = select_measurements(measurement, concept_id).select(
         "measurement_id", "person_id", "value_as_number", "value_source_value",
         "measurement_datetime", "site_id", "provider_id", "visit_occurrence_id")
-    p = select_persons(person).select("person_id", "gender_concept_id", "birth_datetime")
+    keys = ["site_id", "person_id"] if "site_id" in person.columns else ["person_id"]
+    p = select_persons(person).select(*keys, "gender_concept_id", "birth_datetime")
     if hot_key_fraction:
-        j = join_with_hot_keys(m, p, "person_id", hot_fraction=hot_key_fraction,
+        j = join_with_hot_keys(m, p, keys, hot_fraction=hot_key_fraction,
                                strategy=hot_key_strategy)
     else:
-        j = m.join(p, "person_id", "inner")
+        j = m.join(p, keys, "inner")
     return j.select(
         "measurement_id",
         "person_id",
         F.col("value_as_number").alias("bmi_value"),
         F.col("value_source_value").alias("bmi_source_value"),
-        age_in_months("measurement_datetime", "birth_datetime", days_per_month).alias("age_in_months"),
+        age_in_months("measurement_datetime", "birth_datetime", days_per_month)
+        .alias("age_in_months", metadata={DAYS_PER_MONTH_KEY: float(days_per_month)}),
         gender_decode("gender_concept_id").alias("gender"),
         "measurement_datetime",
         "birth_datetime",
@@ -79,15 +85,17 @@ class DuplicateKeyError(ValueError):
     """A key column meant to be unique holds a value twice."""
 
 
-def check_unique(df: DataFrame, key: str) -> None:
-    """Raise :class:`DuplicateKeyError` if ``key`` repeats in ``df``.
+def check_unique(df: DataFrame, key: str | list[str]) -> None:
+    """Raise :class:`DuplicateKeyError` if ``key`` (one or more columns) repeats in ``df``.
 
     The lookup keeps every input row, so duplicate ids do not collapse or
     mis-pair rows as a window over the id would; the check is for callers
     whose downstream tables need the id to be unique.  One aggregation with
     partial counts before the shuffle; at most one row reaches the driver.
     """
-    dup = (df.filter(F.col(key).isNotNull()).groupBy(key).count()
+    keys = [key] if isinstance(key, str) else list(key)
+    dup = (df.filter(F.col(keys[-1]).isNotNull()).groupBy(*keys).count()
            .filter(F.col("count") > 1).limit(1).collect())
     if dup:
-        raise DuplicateKeyError(f"{key} {dup[0][key]!r} occurs {dup[0]['count']} times")
+        value = ", ".join(f"{k} {dup[0][k]!r}" for k in keys)
+        raise DuplicateKeyError(f"{value} occurs {dup[0]['count']} times")

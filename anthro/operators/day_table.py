@@ -15,8 +15,9 @@ large side joins on ``(group, day)`` with plain equality:
 
 The table size is known before it is built,
 ``rows <= n_groups * ((max - min) * days_per_month + 3) + 2 * n``; it is broadcast
-only under the limit, otherwise it is a shuffled equi-join (AQE still
-splits skewed partitions).  Grids whose range in days is unbounded in
+when its proven size in bytes is under the limit, otherwise it is a shuffled
+equi-join (AQE splits skewed partitions), and not built beyond
+``MAX_DAY_TABLE_ROWS``.  Grids whose range in days is unbounded in
 practice are looked up with :func:`anthro.operators.bracket.bracket_lookup`.
 """
 
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anthro.constants import DAYS_PER_MONTH
-from anthro.operators.bracket import _FROM, _G, _PT, _TO, build_brackets, in_piece, interpolate
+from anthro.operators.bracket import (_FROM, _G, _PT, _TO, DEFAULT_MAX_BROADCAST_BYTES, build_brackets, in_piece,
+                                      interpolate, refuse_clash, table_row_bytes)
 from anthro.sources.grids import validate_grid
 
 DAY = "__age_days"
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Largest day table that is built at all; wider grids use the bracket lookup.
+MAX_DAY_TABLE_ROWS = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -57,11 +60,14 @@ def day_table_bound(stats: dict, days_per_month: float) -> int:
 def build_day_table(grid: DataFrame, *, group: str = "gender", axis: str = "age",
                     values=("l", "m", "s"), k: int = 1,
                     days_per_month: float = DAYS_PER_MONTH,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                     stats: dict | None = None) -> DayTable:
     """Interpolated parameters for every whole day inside each group's grid."""
     values = tuple(values)
     st = stats or validate_grid(grid, group, axis, values)
+    bound = day_table_bound(st, float(days_per_month))
+    if bound > MAX_DAY_TABLE_ROWS:
+        raise ValueError(f"the day table could have {bound} rows; use the bracket lookup")
     br = build_brackets(grid, group, axis, values, k=k, stats=st)
     dpm = float(days_per_month)
     # Pieces with both neighbours (finite ends); each emits the whole days
@@ -76,9 +82,9 @@ def build_day_table(grid: DataFrame, *, group: str = "gender", axis: str = "age"
     table = interpolate(days, axis, values, lower=br.lower_col, upper=br.upper_col)
     table = table.select(F.col(_G).alias(group), DAY, br.lower_col, br.upper_col,
                          *[f"{v}_{e}" for v in values for e in ("lo", "hi")], *values)
-    bound = day_table_bound(st, dpm)
+    row_bytes = table_row_bytes(len(table.columns), st.get("label_bytes", 64))
     return DayTable(df=table, group=group, axis=axis, values=values, k=k, days_per_month=dpm,
-                    max_rows=bound, broadcast=bound <= max_broadcast_rows)
+                    max_rows=bound, broadcast=bound * row_bytes <= max_broadcast_bytes)
 
 
 def day_lookup(df: DataFrame, table: DayTable, at: str, birth: str,
@@ -91,6 +97,7 @@ def day_lookup(df: DataFrame, table: DayTable, at: str, birth: str,
     """
     group = group or table.group
     t = table.df.withColumnRenamed(table.group, "__dt_group")
+    refuse_clash(df, [c for c in t.columns if c != "__dt_group"])
     right = F.broadcast(t) if table.broadcast else t
     left = df.withColumn(DAY, F.datediff(F.col(at), F.col(birth)))
     out = left.join(right, (left[group] == right["__dt_group"]) & (left[DAY] == right[DAY]), "inner")

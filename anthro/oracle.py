@@ -32,11 +32,12 @@ from anthro.sources.grids import rule_grid_rows
 ROUND = 6
 
 
-def _measurement_sql() -> str:
+def _measurement_sql(hot_person: bool = False) -> str:
+    person = f"CASE WHEN o_orderkey % {fx.HOT_EVERY} = 0 THEN CAST({fx.HOT_PERSON_ID} AS BIGINT) ELSE o_custkey END" if hot_person else "o_custkey"
     base = f"(10.0 + o_totalprice / {fx.PRICE_DIVISOR})"
     return f"""measurement AS (
   SELECT o_orderkey AS measurement_id,
-         o_custkey AS person_id,
+         {person} AS person_id,
          CAST(CASE WHEN o_orderkey % 11 = 0 THEN {fx.OTHER_CONCEPT_ID} ELSE {BMI_CONCEPT_ID} END AS INTEGER) AS measurement_concept_id,
          CAST(CASE WHEN o_orderkey % 19 = 0 THEN {fx.OTHER_TYPE_CONCEPT_ID} ELSE {DERIVED_TYPE_CONCEPT_ID} END AS INTEGER) AS measurement_type_concept_id,
          CAST(CASE WHEN o_orderkey % 17 = 0 THEN {fx.OTHER_UNIT_CONCEPT_ID} ELSE {UNIT_KG_PER_M2} END AS INTEGER) AS unit_concept_id,
@@ -64,8 +65,20 @@ def _person_sql() -> str:
   FROM customer)"""
 
 
-def _grid_sql() -> str:
-    rows = ",\n    ".join(f"('{g}', {a!r}, {l!r}, {m!r}, {s!r})" for g, a, l, m, s in rule_grid_rows())
+def _person_by_site_sql() -> str:
+    return f"""person AS (
+  SELECT c_custkey AS person_id, 'site_' || CAST(site_no AS VARCHAR) AS site_id,
+         CAST(CASE WHEN c_custkey % 43 = 0 THEN {fx.UNKNOWN_SEX_CONCEPT_ID}
+                   WHEN c_custkey % 2 = 0 THEN {MALE_CONCEPT_ID}
+                   ELSE {FEMALE_CONCEPT_ID} END AS INTEGER) AS gender_concept_id,
+         CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS TIMESTAMP)
+              ELSE CAST(DATE '{fx.BIRTH_BASE_DATE}' + CAST((c_custkey * {fx.BIRTH_DAY_STEP}) % {fx.BIRTH_DAY_RANGE} + {fx.SITE_BIRTH_STEP} * site_no AS INTEGER) AS TIMESTAMP)
+         END AS birth_datetime
+  FROM customer, (VALUES {", ".join(f"({i})" for i in range(fx.N_SITES))}) AS sites(site_no))"""
+
+
+def _grid_sql(zero_l: tuple[float, float] | None = None) -> str:
+    rows = ",\n    ".join(f"('{g}', {a!r}, {l!r}, {m!r}, {s!r})" for g, a, l, m, s in rule_grid_rows(zero_l=zero_l))
     return f"""grid_raw(gender, age, l, m, s) AS (VALUES
     {rows}),
 grid AS (
@@ -97,7 +110,8 @@ def _age_expr(at: str, birth: str, days_per_month: float) -> str:
 
 
 def _cohort_sql(days_per_month: float = DAYS_PER_MONTH, concept_id: int = BMI_CONCEPT_ID,
-                site: str | None = None) -> str:
+                site: str | None = None, by_site: bool = False) -> str:
+    keys = " AND m.site_id = p.site_id" if by_site else ""
     site_filter = f"\n  WHERE m.site_id = '{site}'" if site else ""
     return f"""{_selected_sql(concept_id)},
 {_selected_person_sql()},
@@ -108,7 +122,7 @@ cohort AS (
          {_age_expr('m.measurement_datetime', 'p.birth_datetime', days_per_month)} AS age_in_months,
          {_gender_case('p.gender_concept_id')} AS gender,
          m.measurement_datetime, p.birth_datetime, m.site_id, m.provider_id, m.visit_occurrence_id
-  FROM selected m JOIN selected_person p ON m.person_id = p.person_id{site_filter})"""
+  FROM selected m JOIN selected_person p ON m.person_id = p.person_id{keys}{site_filter})"""
 
 
 def _with(*ctes: str) -> str:
@@ -247,6 +261,9 @@ def oracle_sql() -> dict[str, str]:
                           "c.lower_age, c.l_lo, c.m_lo, c.s_lo FROM lower_half c")
     q["bracket_upper"] = (_with(*base, _halves_sql(1)) + f"\nSELECT {_cohort_select()}, "
                           "c.upper_age, c.l_hi, c.m_hi, c.s_hi FROM upper_half c")
+    for side, keep in (("lower", "lo"), ("upper", "hi")):
+        q[f"bracket_{side}_rank2"] = (_with(*base, _halves_sql(2)) + f"\nSELECT {_cohort_select()}, c.{side}_age, c.l_{keep}, c.m_{keep}, c.s_{keep} "
+                                      f"FROM {side}_half c WHERE c.{side}_age IS NOT NULL")
     q["bracket_rejoin_keys"] = (_with(*base, _both_sql(1, null_safe=False))
                                 + f"\nSELECT {_cohort_select()}, {lookup_cols} FROM both_sides c")
     for name, k in (("bracket_lookup", 1), ("bracket_lookup_rank2", 2)):
@@ -262,7 +279,13 @@ def oracle_sql() -> dict[str, str]:
     q["bmi_zscore"] = records_sql(1)
     q["bmi_zscore_literal"] = records_sql(2, drop_null_keys=REJOIN_KEYS)
     q["zscore_by_site"] = records_sql(1, site=BY_SITE)
-    q["zscore_hot_key_split"] = q["bmi_zscore"]
+    hot = [_measurement_sql(hot_person=True), _person_sql(), _grid_sql(), _cohort_sql()]
+    q["zscore_hot_key_split"] = _with(*hot, _z_sql(1)) + "\n" + _records_select()
+    multi = [_measurement_sql(), _person_by_site_sql(), _grid_sql(), _cohort_sql(by_site=True)]
+    q["cohort_multi_site"] = _with(*multi) + "\n" + cohort_out
+    log_form = [_measurement_sql(), _person_sql(), _grid_sql(ZERO_L_AGES), _cohort_sql()]
+    q["lms_zscore_log_form"] = _with(*log_form, _z_sql(1)) + f"\nSELECT {zcols} FROM with_z"
+    q["write_table_roundtrip"] = q["bmi_zscore"]
     q["bmi_zscore_bracket"] = q["bmi_zscore"]
     q["write_roundtrip"] = q["bmi_zscore"]
     q["zscore_stream"] = q["bmi_zscore"]
@@ -274,3 +297,5 @@ def oracle_sql() -> dict[str, str]:
 RECORDS_PARAMS = dict(days_per_month=30.4375, version="v2.1", label_prefix="Synthetic grid",
                       zscore_concept_id=2000000044)
 BY_SITE = "site_0"
+# Ages at which the grid of ``lms_zscore_log_form`` has L = 0.
+ZERO_L_AGES = (60.0, 140.0)

@@ -9,6 +9,7 @@ matching DuckDB statements are in :mod:`anthro.oracle`.  z is rounded to
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,12 @@ from anthro.functions.codes import gender_decode, source_label
 from anthro.functions.dates import age_in_months
 from anthro.operators.bracket import bracket_lookup, build_brackets
 from anthro.operators.cohort import measurement_cohort, select_measurements, select_persons
+from anthro.operators.day_table import build_day_table
 from anthro.operators.zscore import lms_interpolate, lms_parameters, with_zscore
-from anthro.oracle import BY_SITE, RECORDS_PARAMS, ROUND
-from anthro.plans.zscore_job import bmi_zscore
+from anthro.oracle import BY_SITE, RECORDS_PARAMS, ROUND, ZERO_L_AGES
+from anthro.plans.zscore_job import bmi_zscore, run_zscore_job
 from anthro.session import scratch_path
-from anthro.sources.fixtures import fixture_tables
+from anthro.sources.fixtures import fixture_tables, measurement_from_orders, person_from_customer, read_table
 from anthro.sources.grids import rule_grid
 from anthro.sources.sinks import read_zscores, write_zscores
 
@@ -30,6 +32,17 @@ def _rounded(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.round(c, ROUND) for c in cols})
 
 
+_DAY_TABLES: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _day_table(spark: SparkSession, k: int = 1):
+    """The lookup table of the synthetic grid, checked and built once per session and rank."""
+    tables = _DAY_TABLES.setdefault(spark, {})
+    if k not in tables:
+        tables[k] = build_day_table(rule_grid(spark), k=k)
+    return tables[k]
+
+
 def _inputs(spark: SparkSession, sf_dir: str):
     m, p = fixture_tables(spark, sf_dir)
     return m, p, rule_grid(spark)
@@ -74,6 +87,12 @@ def q_measurement_cohort(spark, sf_dir):
     return _cohort(spark, sf_dir)[0]
 
 
+def cohort_multi_site(spark, sf_dir):
+    """Sites that use the same person ids for different persons."""
+    m = fixture_tables(spark, sf_dir)[0]
+    return measurement_cohort(m, person_from_customer(read_table(spark, sf_dir, "customer"), by_site=True))
+
+
 def _lookup(spark, sf_dir, k=1, how="inner", sides="both", drop_keys=(), **opts):
     c, g = _cohort(spark, sf_dir)
     if drop_keys:
@@ -90,6 +109,15 @@ def bracket_upper(spark, sf_dir):
     return _lookup(spark, sf_dir, how="left", sides="upper")
 
 
+def bracket_lower_rank2(spark, sf_dir):
+    """The lower half as the original job runs it: second nearest, rows without one lost."""
+    return _lookup(spark, sf_dir, k=2, sides="lower")
+
+
+def bracket_upper_rank2(spark, sf_dir):
+    return _lookup(spark, sf_dir, k=2, sides="upper")
+
+
 def bracket_rejoin_keys(spark, sf_dir):
     return _lookup(spark, sf_dir, how="left", drop_keys=REJOIN_KEYS)
 
@@ -112,9 +140,9 @@ def q_lms_interpolate(spark, sf_dir):
     return lms_interpolate(c, g, k=1).select(*COHORT_COLUMNS, "lower_age", "upper_age", "l", "m", "s")
 
 
-def _z(spark, sf_dir, strict):
-    c, g = _cohort(spark, sf_dir)
-    out = with_zscore(lms_parameters(c, g, k=1), strict=strict)
+def _z(spark, sf_dir, strict, grid=None):
+    c = measurement_cohort(*fixture_tables(spark, sf_dir))
+    out = with_zscore(lms_parameters(c, grid or _day_table(spark)), strict=strict)
     out = out.select("measurement_id", "person_id", "bmi_value", "age_in_months", "gender",
                      "l", "m", "s", "z_score")
     return _rounded(out, ["z_score"])
@@ -124,6 +152,11 @@ def q_lms_zscore(spark, sf_dir):
     return _z(spark, sf_dir, strict=False)
 
 
+def lms_zscore_log_form(spark, sf_dir):
+    """A grid with L = 0 over a range of ages: z takes its logarithmic form there."""
+    return _z(spark, sf_dir, strict=False, grid=rule_grid(spark, zero_l=ZERO_L_AGES))
+
+
 def zscore_strict(spark, sf_dir):
     return _z(spark, sf_dir, strict=True)
 
@@ -136,8 +169,8 @@ def _records(df: DataFrame) -> DataFrame:
 
 
 def q_bmi_zscore(spark, sf_dir):
-    m, p, g = _inputs(spark, sf_dir)
-    return _records(bmi_zscore(m, p, g))
+    m, p = fixture_tables(spark, sf_dir)
+    return _records(bmi_zscore(m, p, _day_table(spark)))
 
 
 def bmi_zscore_bracket(spark, sf_dir):
@@ -149,8 +182,8 @@ def bmi_zscore_bracket(spark, sf_dir):
 
 def bmi_zscore_literal(spark, sf_dir):
     """As the original job runs: second-nearest brackets, NULL keys lost."""
-    m, p, g = _inputs(spark, sf_dir)
-    return _records(bmi_zscore(m, p, g, neighbor_rank=2, drop_null_keys=REJOIN_KEYS))
+    m, p = fixture_tables(spark, sf_dir)
+    return _records(bmi_zscore(m, p, _day_table(spark, k=2), neighbor_rank=2, drop_null_keys=REJOIN_KEYS))
 
 
 def q_zscore_records(spark, sf_dir):
@@ -159,23 +192,33 @@ def q_zscore_records(spark, sf_dir):
 
 
 def zscore_by_site(spark, sf_dir):
-    m, p, g = _inputs(spark, sf_dir)
-    return _records(bmi_zscore(m, p, g, site=BY_SITE))
+    m, p = fixture_tables(spark, sf_dir)
+    return _records(bmi_zscore(m, p, _day_table(spark), site=BY_SITE))
 
 
 def zscore_hot_key_split(spark, sf_dir):
-    """Flagship with persons above 0.05% of the rows split out explicitly."""
-    m, p, g = _inputs(spark, sf_dir)
-    return _records(bmi_zscore(m, p, g, hot_key_fraction=0.0005))
+    """Flagship with one person who owns a third of the measurements split out explicitly."""
+    m = measurement_from_orders(read_table(spark, sf_dir, "orders"), hot_person=True)
+    p = fixture_tables(spark, sf_dir)[1]
+    return _records(bmi_zscore(m, p, _day_table(spark), hot_key_fraction=0.1))
 
 
 def write_roundtrip(spark, sf_dir):
     """Write the records partitioned by site to the shared folder, read back."""
-    m, p, g = _inputs(spark, sf_dir)
-    df = bmi_zscore(m, p, g)
+    m, p = fixture_tables(spark, sf_dir)
     path = scratch_path(spark, "zscore-records")
-    write_zscores(df, path)
-    return _records(read_zscores(spark, path, schema=df.schema))
+    write_zscores(bmi_zscore(m, p, _day_table(spark)), path)
+    return _records(read_zscores(spark, path))
+
+
+def write_table_roundtrip(spark, sf_dir):
+    """Write all sites to a table, run one site again into it, read the table back."""
+    m, p = fixture_tables(spark, sf_dir)
+    path = scratch_path(spark, "zscore-table")
+    table = f"zscore_roundtrip_{path.rsplit('-', 1)[-1]}"
+    run_zscore_job(m, p, _day_table(spark), table=table)
+    run_zscore_job(m, p, _day_table(spark), table=table, site=BY_SITE)
+    return _records(spark.table(table).select(*OUTPUT_COLUMNS))
 
 
 def zscore_stream(spark, sf_dir):
@@ -193,14 +236,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_in_months": q_age_in_months,
     "source_label": q_source_label,
     "measurement_cohort": q_measurement_cohort,
+    "cohort_multi_site": cohort_multi_site,
     "bracket_lower": bracket_lower,
     "bracket_upper": bracket_upper,
+    "bracket_lower_rank2": bracket_lower_rank2,
+    "bracket_upper_rank2": bracket_upper_rank2,
     "bracket_rejoin_keys": bracket_rejoin_keys,
     "bracket_lookup": q_bracket_lookup,
     "bracket_lookup_rank2": bracket_lookup_rank2,
     "bracket_lookup_salted": bracket_lookup_salted,
     "lms_interpolate": q_lms_interpolate,
     "lms_zscore": q_lms_zscore,
+    "lms_zscore_log_form": lms_zscore_log_form,
     "zscore_strict": zscore_strict,
     "zscore_records": q_zscore_records,
     "bmi_zscore": q_bmi_zscore,
@@ -209,5 +256,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zscore_by_site": zscore_by_site,
     "zscore_hot_key_split": zscore_hot_key_split,
     "write_roundtrip": write_roundtrip,
+    "write_table_roundtrip": write_table_roundtrip,
     "zscore_stream": zscore_stream,
 }

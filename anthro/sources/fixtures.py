@@ -25,18 +25,24 @@ N_SITES = 5
 BIRTH_BASE_DATE = "1977-01-01"
 BIRTH_DAY_STEP = 37
 BIRTH_DAY_RANGE = 8030
+HOT_PERSON_ID = 2
+HOT_EVERY = 3
+SITE_BIRTH_STEP = 100
 # --- end of fixed values ----------------------------------------------------
 
 
-def measurement_from_orders(orders: DataFrame) -> DataFrame:
+def measurement_from_orders(orders: DataFrame, hot_person: bool = False) -> DataFrame:
     """One measurement row per order (key k = o_orderkey).
 
+    ``hot_person`` gives one person every third measurement, at any size.
+
     Written as SQL expressions (one projection, one call into the JVM).
     """
     base = f"(10.0D + o_totalprice / {PRICE_DIVISOR!r}D)"
     return orders.selectExpr(
         "o_orderkey AS measurement_id",
-        "o_custkey AS person_id",
+        (f"CASE WHEN o_orderkey % {HOT_EVERY} = 0 THEN CAST({HOT_PERSON_ID} AS BIGINT) ELSE o_custkey END" if hot_person
+         else "o_custkey") + " AS person_id",
         f"CAST(CASE WHEN o_orderkey % 11 = 0 THEN {OTHER_CONCEPT_ID} ELSE {BMI_CONCEPT_ID} END AS INT)"
         " AS measurement_concept_id",
         f"CAST(CASE WHEN o_orderkey % 19 = 0 THEN {OTHER_TYPE_CONCEPT_ID} "
@@ -56,10 +62,19 @@ def measurement_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def person_from_customer(customer: DataFrame) -> DataFrame:
-    """One person row per customer (key c = c_custkey)."""
-    birth = (f"date_add(DATE'{BIRTH_BASE_DATE}', "
-             f"CAST((c_custkey * {BIRTH_DAY_STEP}) % {BIRTH_DAY_RANGE} AS INT))")
+def person_from_customer(customer: DataFrame, by_site: bool = False) -> DataFrame:
+    """One person row per customer (key c = c_custkey).
+
+    ``by_site`` gives every site a person of every id, born ``SITE_BIRTH_STEP``
+    days apart: equal ids then mean different persons.
+    """
+    days = f"(c_custkey * {BIRTH_DAY_STEP}) % {BIRTH_DAY_RANGE}"
+    site = []
+    if by_site:
+        customer = customer.selectExpr("c_custkey", f"explode(sequence(0, {N_SITES - 1})) AS site_no")
+        days += f" + {SITE_BIRTH_STEP} * site_no"
+        site = ["concat('site_', CAST(site_no AS STRING)) AS site_id"]
+    birth = f"date_add(DATE'{BIRTH_BASE_DATE}', CAST({days} AS INT))"
     return customer.selectExpr(
         "c_custkey AS person_id",
         f"CAST(CASE WHEN c_custkey % 43 = 0 THEN {UNKNOWN_SEX_CONCEPT_ID} "
@@ -67,6 +82,7 @@ def person_from_customer(customer: DataFrame) -> DataFrame:
         " AS gender_concept_id",
         f"CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) "
         f"ELSE CAST({birth} AS TIMESTAMP_NTZ) END AS birth_datetime",
+        *site,
     )
 
 

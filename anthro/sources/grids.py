@@ -35,26 +35,40 @@ RAW_GRID_SCHEMA = T.StructType([
 ])
 
 
+# A grid is checked, and its rows ordered, in one task per group; larger ones are refused.
+MAX_GRID_ROWS = 1_000_000
+
+# --- fixed values: the age axis of the grid the job is usually run with ------
+AXIS_START, AXIS_FIRST, AXIS_STEPS, AXIS_END = 24.0, 24.5, 216, (240.0, 240.5)
+# --- end of fixed values ------------------------------------------------------
+
+
 class GridError(ValueError):
-    """A grid with NULL values or a duplicate (group, axis) key."""
+    """A grid with NULL values, a duplicate (group, axis) key, or too many rows."""
 
 
 def rule_axis() -> list[float]:
     """24, 24.5, 25.5, 26.5, ..., 239.5, 240, 240.5 (219 points)."""
-    return [24.0] + [24.5 + i for i in range(216)] + [240.0, 240.5]
+    return [AXIS_START] + [AXIS_FIRST + i for i in range(AXIS_STEPS)] + list(AXIS_END)
 
 
-def rule_grid_rows(female_m_factor: float = 0.98) -> list[tuple]:
+def rule_grid_rows(female_m_factor: float = 0.98, zero_l: tuple[float, float] | None = None) -> list[tuple]:
     """Synthetic (gender, age, l, m, s) rows from smooth quadratics in age.
 
-    Values are rounded to 6 decimals so that SQL literals and Spark doubles
-    are the same numbers.  Female rows are the male rows with M scaled.
+    The coefficients were chosen by hand so that L, M and S have the sign and
+    size of a body-mass grid (L negative, M near 16 to 23, S near 0.1) and bend
+    with age; no value is taken from a published grid.  Values are rounded to
+    6 decimals so that SQL literals and Spark doubles are the same numbers.
+    Female rows are the male rows with M scaled.  ``zero_l`` sets L to 0 for
+    ages in that range, where z takes its logarithmic form.
     """
     rows = []
     lo, hi = 24.0, 240.5
     for a in rule_axis():
         t = (a - lo) / (hi - lo)
         l = round(-2.01 + 1.5 * t - 1.33 * t * t, 6)
+        if zero_l and zero_l[0] <= a <= zero_l[1]:
+            l = 0.0
         m = round(16.6 - 3.0 * t + 9.4 * t * t, 6)
         s = round(0.0806 - 0.02 * t + 0.074 * t * t, 6)
         rows.append(("male", a, l, m, s))
@@ -99,10 +113,10 @@ def raw_sex_table(spark: SparkSession, rows) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {vals} AS raw(age, l, m, s)")
 
 
-def rule_grid(spark: SparkSession) -> DataFrame:
+def rule_grid(spark: SparkSession, zero_l: tuple[float, float] | None = None) -> DataFrame:
     """The synthetic grid, built the way a stored grid is read: one string
     table per sex, typed and unioned (:func:`union_sexes`)."""
-    rows = rule_grid_rows()
+    rows = rule_grid_rows(zero_l=zero_l)
     by_sex = {g: [r[1:] for r in rows if r[0] == g] for g in ("female", "male")}
     return union_sexes(raw_sex_table(spark, by_sex["female"]), raw_sex_table(spark, by_sex["male"]))
 
@@ -132,33 +146,38 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
                   values=("l", "m", "s")) -> dict:
     """Check a grid and return its axis statistics.
 
-    Raises :class:`GridError` on a NULL or NaN key/value or a duplicate
-    ``(group, axis)``.  One job in a single task, no shuffle (a grid is a
-    lookup table of thousands of rows): rows are ordered within each group,
-    a duplicate is a row equal to its predecessor, a group starts at row
-    number 1.  Only one row of statistics comes back to the driver.
+    Raises :class:`GridError` on a NULL or NaN key/value, a duplicate
+    ``(group, axis)``, or more than ``MAX_GRID_ROWS`` rows.  A grid is a
+    lookup table, usually of hundreds of rows; the limit, applied while
+    reading, is what lets one task check it without a shuffle: rows are
+    ordered within each group, a duplicate is a row equal to its predecessor,
+    a group starts at row number 1.  Only one row of statistics comes back to
+    the driver.
     """
     q = {c: "`" + c.replace("`", "``") + "`" for c in (group, axis, *values)}
     g, a = q[group], q[axis]
     bad = " OR ".join([f"{q[c]} IS NULL" for c in (group, axis, *values)]
                       + [f"isnan({q[c]})" for c in (axis, *values)])
     over = f"OVER (PARTITION BY {g} ORDER BY {a})"
-    ordered = grid.coalesce(1).selectExpr(
+    ordered = grid.limit(MAX_GRID_ROWS + 1).coalesce(1).selectExpr(
         *q.values(), f"lag({a}) {over} AS __prev", f"row_number() {over} AS __rn")
     st = ordered.selectExpr(
         "count(1) AS n",
         f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END) AS n_bad",
         f"min({a}) AS amin",
         f"max({a}) AS amax",
+        f"max(octet_length(CAST({g} AS STRING))) AS label_bytes",
         "sum(CASE WHEN __rn = 1 THEN 1 ELSE 0 END) AS n_groups",
         f"sum(CASE WHEN {a} = __prev THEN 1 ELSE 0 END) AS n_dup",
     ).first()
     n = int(st["n"])
     if n == 0:
         raise GridError("grid is empty")
+    if n > MAX_GRID_ROWS:
+        raise GridError(f"grid has more than {MAX_GRID_ROWS} rows")
     if st["n_bad"]:
         raise GridError(f"grid has {st['n_bad']} row(s) with a NULL or NaN field")
     if st["n_dup"]:
         raise GridError(f"grid has {st['n_dup']} duplicate ({group}, {axis}) key(s)")
     return {"n": n, "min": float(st["amin"]), "max": float(st["amax"]),
-            "n_groups": int(st["n_groups"])}
+            "n_groups": int(st["n_groups"]), "label_bytes": int(st["label_bytes"] or 0)}

@@ -2,49 +2,148 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from anthro.constants import OUTPUT_COLUMNS
+from anthro.session import scratch_path
+
+# Types of the written records.  Reading with them keeps a site id such as
+# "001" a string: without a declared schema Spark infers the type of a
+# partition column from its folder names.
+RECORD_SCHEMA = T.StructType([
+    T.StructField("measurement_id", T.LongType()),
+    T.StructField("person_id", T.LongType()),
+    T.StructField("measurement_concept_id", T.IntegerType()),
+    T.StructField("measurement_date", T.DateType()),
+    T.StructField("measurement_datetime", T.TimestampNTZType()),
+    T.StructField("measurement_type_concept_id", T.IntegerType()),
+    T.StructField("unit_concept_id", T.IntegerType()),
+    T.StructField("unit_source_value", T.StringType()),
+    T.StructField("value_as_number", T.DoubleType()),
+    T.StructField("value_source_value", T.StringType()),
+    T.StructField("measurement_source_value", T.StringType()),
+    T.StructField("measurement_source_concept_id", T.IntegerType()),
+    T.StructField("measurement_age_in_months", T.DoubleType()),
+    T.StructField("site_id", T.StringType()),
+    T.StructField("provider_id", T.LongType()),
+    T.StructField("visit_occurrence_id", T.LongType()),
+])
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _rename(fs, src, dst) -> None:
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def _put(spark: SparkSession, new: str, target: str) -> None:
+    """Move folder ``new`` to ``target``; an old ``target`` goes only once the new one is in place."""
+    fs, t = _fs(spark, target)
+    n = _fs(spark, new)[1]
+    if not fs.exists(t):
+        fs.mkdirs(t.getParent())
+        _rename(fs, n, t)
+        return
+    old = _fs(spark, f"{target}__old-{uuid.uuid4().hex}")[1]
+    _rename(fs, t, old)
+    try:
+        _rename(fs, n, t)
+    except Exception:
+        _rename(fs, old, t)
+        raise
+    fs.delete(old, True)
+
+
+def _site_folder(spark: SparkSession, site: str) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"site_id={escape(site)}"
+
+
+def _overwrite_path(df: DataFrame, path: str, fmt: str, max_records: int, site: str | None) -> None:
+    spark, path = df.sparkSession, path.rstrip("/")
+    new = f"{path}__new-{uuid.uuid4().hex}"  # beside the target: moves stay in one file system
+    try:
+        df.write.format(fmt).partitionBy("site_id").option("maxRecordsPerFile", max_records).save(new)
+        if site is None:
+            _put(spark, new, path)
+            return
+        folder = _site_folder(spark, site)
+        fs, staged = _fs(spark, f"{new}/{folder}")
+        if fs.exists(staged):
+            _put(spark, f"{new}/{folder}", f"{path}/{folder}")
+        else:
+            fs.delete(_fs(spark, f"{path}/{folder}")[1], True)
+            fs.mkdirs(_fs(spark, path)[1])
+    finally:
+        fs, n = _fs(spark, new)
+        if fs.exists(n):
+            fs.delete(n, True)
+
+
+def _overwrite_table(df: DataFrame, table: str, fmt: str, max_records: int, site: str | None) -> None:
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.format(fmt).partitionBy("site_id").option("maxRecordsPerFile", max_records).saveAsTable(table)
+        return
+    # Compute first, into scratch files; the table is touched only by a copy of finished rows.
+    path = scratch_path(spark, "zscore-table")
+    df.write.parquet(path)
+    done = spark.read.schema(df.schema).parquet(path).select(*spark.table(table).columns)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "static" if site is None else "dynamic")
+        if site is not None and done.isEmpty():
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (site_id = '{site.replace(chr(39), chr(39) * 2)}')")
+        else:
+            done.write.option("maxRecordsPerFile", max_records).insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
 
 
 def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None = None,
                   fmt: str = "parquet", mode: str = "overwrite",
-                  max_records_per_file: int = 5_000_000, rebalance: bool = True,
-                  replace_written_sites_only: bool = False) -> None:
+                  max_records_per_file: int = 5_000_000, rebalance: bool = False,
+                  site: str | None = None) -> None:
     """Write records partitioned by ``site_id`` (one folder per site).
 
-    ``rebalance`` adds Spark's REBALANCE hint on ``site_id``: one shuffle of
-    the (small) output so each site is written in few, well-sized files
-    instead of one small file per input task and site, and AQE splits the
-    partition of a site that holds a large share of the rows
-    (``spark.sql.adaptive.optimizeSkewsInRebalancePartitions``), so no
-    single task writes a hot site.  Without it there is no shuffle at all.
-    ``maxRecordsPerFile`` bounds file sizes.  The file committer makes the
-    write all-or-nothing, and a task lost with its executor is re-run.
-    Errors are raised, never swallowed.
-
-    ``replace_written_sites_only`` overwrites only the ``site_id`` folders
-    the job writes (dynamic partition overwrite) -- a one-site run then
-    replaces that site and leaves the others, as the per-site table of the
-    original job does.  A site with no output rows keeps its old folder.
+    By default there is no shuffle: every task writes its rows, and
+    ``maxRecordsPerFile`` bounds file sizes.  ``rebalance`` adds Spark's
+    REBALANCE hint on ``site_id``, a shuffle of the whole output after which
+    each site has few, well-sized files (AQE splits a site with a large share).
+
+    ``mode="overwrite"`` never leaves a half-written result: a path is written
+    beside its target and then moved into place, a table is filled by a copy of
+    rows computed before, so a failing row or executor leaves the old data.
+    Between the two moves of a path, or during a table's copy, readers may see
+    it incomplete.  Errors are raised, never swallowed.
+
+    ``site`` says that ``df`` holds one site: only that site's folder or table
+    partition is replaced, and it ends empty when ``df`` has no rows.  A NULL or
+    empty site id is stored as, and read back as, NULL.
     """
+    if (path is None) == (table is None):
+        raise ValueError("give a path or a table")
     if rebalance:
         df = df.hint("rebalance", "site_id")
-    w = (df.write.mode(mode).format(fmt).partitionBy("site_id")
-         .option("maxRecordsPerFile", max_records_per_file))
-    if replace_written_sites_only:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    if table:
-        w.saveAsTable(table)
-    elif path:
-        w.save(path)
+    if mode != "overwrite":
+        w = df.write.mode(mode).format(fmt).partitionBy("site_id").option("maxRecordsPerFile", max_records_per_file)
+        w.saveAsTable(table) if table else w.save(path)
+    elif table:
+        _overwrite_table(df, table, fmt, max_records_per_file, site)
     else:
-        raise ValueError("give a path or a table")
+        _overwrite_path(df, path, fmt, max_records_per_file, site)
 
 
-def read_zscores(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """Read records back in the record column order."""
-    r = spark.read.format(fmt)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.load(path).select(*OUTPUT_COLUMNS)
+def read_zscores(spark: SparkSession, path: str, schema=RECORD_SCHEMA, fmt: str = "parquet") -> DataFrame:
+    """Read records back with the record types, in the record column order."""
+    return spark.read.format(fmt).schema(schema).load(path).select(*OUTPUT_COLUMNS)

@@ -8,6 +8,7 @@ into the scan by Catalyst.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEASUREMENT_SCHEMA = T.StructType([
@@ -32,19 +33,51 @@ PERSON_SCHEMA = T.StructType([
 
 
 def read_source(spark: SparkSession, source: str, fmt: str = "parquet",
-                options: dict | None = None) -> DataFrame:
+                options: dict | None = None, schema: T.StructType | None = None,
+                one_task: bool = False) -> DataFrame:
     """``source`` is a catalog table name (``fmt="table"``), a path, or for
     ``fmt="jdbc"`` a table name with connection ``options`` (url, user...).
 
     For JDBC pass ``partitionColumn``/``lowerBound``/``upperBound``/
-    ``numPartitions`` in ``options`` so the read is split over executors.
+    ``numPartitions`` in ``options`` so the read is split over executors; a
+    read without them runs in one task and is refused unless ``one_task``.
+
+    ``schema`` types text formats (CSV, JSON), whose columns would else be
+    strings or guessed; other formats carry their own types.
     """
     opts = dict(options or {})
     if fmt == "table":
         return spark.table(source)
     if fmt == "jdbc":
+        split = {"partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
+        missing = split - {k.lower() for k in opts}
+        if missing and not one_task:
+            raise ValueError(f"this JDBC read would run in one task: give {', '.join(sorted(missing))}, or one_task=True for a small table")
         return spark.read.format("jdbc").options(dbtable=source, **opts).load()
-    return spark.read.format(fmt).options(**opts).load(source)
+    reader = spark.read.format(fmt).options(**opts)
+    if schema is not None and fmt in ("csv", "json"):
+        if fmt == "csv" and str(opts.get("header", "")).lower() == "true":
+            # by name: a CSV file's columns may be in any order, or more than these
+            raw = reader.load(source)
+            return raw.select(*[raw[f.name].cast(f.dataType).alias(f.name) for f in schema if f.name in raw.columns])
+        reader = reader.schema(schema)
+    return reader.load(source)
+
+
+def read_sites(spark: SparkSession, tables: dict[str, str], fmt: str = "table", options: dict | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """One table from a schema (or path) per site: ``{site_id: source}``.
+
+    Each site's rows get its ``site_id`` (an existing column is replaced), so
+    persons and grids read this way join within their site.
+    """
+    if not tables:
+        raise ValueError("no site given")
+    out = None
+    for site, source in tables.items():
+        one = read_source(spark, source, fmt, options, schema).withColumn("site_id", F.lit(site))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
 
 
 def save_bucketed_by_person(df: DataFrame, table: str, buckets: int, *,

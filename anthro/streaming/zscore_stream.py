@@ -19,6 +19,7 @@ from anthro.plans.zscore_job import bmi_zscore
 from anthro.session import scratch_path
 from anthro.sources.fixtures import measurement_from_orders, person_from_customer, read_table
 from anthro.sources.grids import rule_grid
+from anthro.sources.sinks import read_zscores
 
 
 def start_zscore_stream(measurement: DataFrame, person: DataFrame, grid, out_path: str,
@@ -41,7 +42,7 @@ def start_zscore_stream(measurement: DataFrame, person: DataFrame, grid, out_pat
     return w.start(out_path)
 
 
-def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1, *,
+def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None, *,
                       orders_dir: str | None = None, glob: str = "orders*.parquet",
                       out: str | None = None, checkpoint: str | None = None,
                       **job_opts) -> DataFrame:
@@ -51,18 +52,20 @@ def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     By default the order file of ``sf_dir`` is streamed into fresh folders.
     Pass ``orders_dir``/``out``/``checkpoint`` to resume an earlier run: only
     files that arrived since are processed, and the sink's log keeps each
-    file's rows exactly once.
+    file's rows exactly once.  ``max_files_per_trigger`` bounds a micro-batch
+    (default: all files that wait, so work runs over them in parallel).
     """
     src = (orders_dir or sf_dir).rstrip("/")
     schema = read_table(spark, sf_dir, "orders").schema
     # A file stream source watches a folder; the glob keeps the order files.
     stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", glob)
-              .parquet(src))
+              .option("pathGlobFilter", glob))
+    if max_files_per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = stream.parquet(src)
     person = person_from_customer(read_table(spark, sf_dir, "customer"))
     grid = rule_grid(spark)
-    table = build_day_table(grid, k=job_opts.pop("neighbor_rank", 1),
+    table = build_day_table(grid, k=job_opts.get("neighbor_rank", 1),
                             days_per_month=job_opts.get("days_per_month", DAYS_PER_MONTH))
     out = out or scratch_path(spark, "zscore-stream-out")
     checkpoint = checkpoint or scratch_path(spark, "zscore-stream-ckpt")
@@ -71,7 +74,7 @@ def run_zscore_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
+    return read_zscores(spark, out)
 
 
 __all__ = ["run_zscore_stream", "start_zscore_stream"]

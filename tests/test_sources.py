@@ -125,7 +125,7 @@ def test_bucketed_join_with_hot_person_split(spark):
     try:
         bm, bp = spark.table("bucketed_hot_measurement"), spark.table("bucketed_person_2")
         out = join_with_hot_keys(bm, bp, "person_id", hot_fraction=0.2, strategy="split")
-        tree = plan_text(out).split("\\n\\n(1)")[0]
+        tree = plan_text(out).split("\n\n(1)")[0]
         assert "SortMergeJoin" in tree and "BroadcastHashJoin" in tree
         assert [ln for ln in tree.splitlines() if "Exchange" in ln and "Broadcast" not in ln] == []
         assert sorted(out.collect()) == sorted(bm.join(bp, "person_id").collect())
