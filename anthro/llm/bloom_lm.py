@@ -131,15 +131,20 @@ class Filter:
     segments: int
 
     @staticmethod
-    def places(gram: np.ndarray, level: np.ndarray | int, segments: int) -> list[np.ndarray]:
-        """Bit numbers probed for the n-grams at a level."""
-        start = ((gram >> np.uint64(20)) % np.uint64(segments)).astype(np.int64) * SEGMENT_BITS
-        x = mix(gram + np.asarray(level).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-        return [start + ((x >> np.uint64(16 * k)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64) for k in range(PROBES)]
+    def segment(gram: np.ndarray, segments: int) -> np.ndarray:
+        return ((gram >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
+
+    @staticmethod
+    def offsets(gram: np.ndarray, level: int) -> list[np.ndarray]:
+        """Bit numbers probed for the n-grams at a level, inside their segments."""
+        x = mix(gram + np.uint64(level * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF))
+        return [((x >> np.uint64(16 * k)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64) for k in range(PROBES)]
 
     def has(self, gram: np.ndarray, level: int) -> np.ndarray:
+        start = self.segment(gram, self.segments) * SEGMENT_BITS
         found = np.ones(len(gram), bool)
-        for place in self.places(gram, level, self.segments):
+        for offset in self.offsets(gram, level):
+            place = start + offset
             found &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
         return found
 
@@ -182,27 +187,26 @@ def build_filter(counts: DataFrame, max_bytes: int = MAX_BYTES) -> Filter:
     arrow = arrow_schema(out)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw: dict[int, np.ndarray] = {}
+        slot = np.full(segments, -1)                       # of the segments that this task has
+        flags = np.zeros((0, SEGMENT_BITS), np.uint8)      # their bits, a byte each
+        used = 0
         for b in batches:
-            gram, n = np.asarray(column(b, "gram")).view(np.uint64), np.asarray(column(b, "n"))
-            level = level_of(n)
+            gram, level = np.asarray(column(b, "gram")).view(np.uint64), level_of(np.asarray(column(b, "n")))
+            segment = Filter.segment(gram, segments)
+            new = np.unique(segment[slot[segment] < 0])
+            slot[new] = used + np.arange(len(new))
+            used += len(new)
+            if used > len(flags):
+                flags = np.concatenate([flags, np.zeros((max(used, 2 * len(flags)) - len(flags), SEGMENT_BITS), np.uint8)])
             for q in range(1, level.max(initial=0) + 1):
-                gram, level = gram[level >= q], level[level >= q]
-                for place in Filter.places(gram, q, segments):
-                    order = np.argsort(place)
-                    place = place[order]
-                    seg = place // SEGMENT_BITS
-                    cut = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
-                    for lo, hi in zip(cut, [*cut[1:], len(seg)], strict=True):
-                        s = int(seg[lo])
-                        if s not in raw:
-                            raw[s] = np.zeros(SEGMENT_BITS // 8, np.uint8)
-                        p = place[lo:hi] - s * SEGMENT_BITS
-                        np.bitwise_or.at(raw[s], p >> 3, np.left_shift(1, p & 7).astype(np.uint8))
-        for s, x in raw.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=arrow)
-
-    # the segment as in Filter.places: (gram >>> 20) mod segments
+                gram, segment, level = gram[level >= q], segment[level >= q], level[level >= q]
+                for offset in Filter.offsets(gram, q):
+                    flags[slot[segment], offset] = 1
+        for s in np.flatnonzero(slot >= 0).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([np.packbits(flags[slot[s]], bitorder="little").tobytes()], pa.binary())],
+                                             schema=arrow)
+
+    # the segment as in Filter.segment: (gram >>> 20) mod segments
     chosen = counts.where(f"kind = 1 or n >= {least}").select("gram", "n", F.expr(f"shiftrightunsigned(gram, 20) % {segments}").alias("segment"))
     bits = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
     for r in chosen.repartition("segment").select("gram", "n").mapInArrow(fill, out).collect():  # max_bytes in all

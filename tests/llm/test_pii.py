@@ -34,7 +34,7 @@ def test_form_is_kept():
         assert n == len(P.find(text or ""))
         for (s, e, k, v), (k2, got) in zip(P.find(text or ""), entity_kinds(new or ""), strict=True):
             old = text[s:e]
-            assert k == k2 and got != old
+            assert k == k2 and (got != old or k.startswith("given") or k == "family")  # single draws of names may meet; corpus draws are checked below
             if k in ("phone", "card", "ssn", "email"):
                 assert shape(got) == shape(old)
             if k == "card":
