@@ -6,14 +6,17 @@ one class), in these steps:
 
 1.  ``shingle_sets``: size and 64-bit key of every document's set.  The same
     pass counts shingles in a count-min sketch of fixed size.
-2.  ``prefixes``: shingles are ordered rare first (by the sketch, then hash);
-    any order that depends on the shingle alone keeps the join exact, the
-    sketch only makes it cheap.  A set of n needs an overlap of at least
+2.  ``prefixes``: shingles are ordered rare first: those that the sketch
+    finds frequent go last, the others by how rare their words are (a second
+    sketch), then by hash.  Any order that depends on the shingle alone keeps
+    the join exact, the sketches only make it cheap.  A set of n needs an overlap of at least
     t = ceil(percent * n / 100) with any partner, so it must share l of its
     first n - t + l shingles with it.  Each document picks the l with the
     least estimated cost: list entries read plus candidates to verify.
 3.  Candidates.  First each shingle's posting list links its members to one
-    hub, the least key: a number of pairs linear in the lists.  Verified links
+    hub, the set in which the shingle comes first (of near copies, that is the
+    one with the fewest shingles of its own): a number of pairs linear in the
+    lists.  Verified links
     are joined to components.  Then pairs that share a list and lie in
     different components are tried, where size and position allow the overlap
     and at least min(l, l') prefix shingles are shared.  Links inside a
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from anthro.llm.common import arrow_schema, column, free_name, row_ranges, stage
 from anthro.llm.components import connected_components
-from anthro.llm.textnum import SPACE_TABLE, Words, distinct_per_row, mix, ngram_hashes, slices
+from anthro.llm.textnum import SPACE_TABLE, Words, distinct_per_row, mix, ngram_hashes, run_sums, slices
 
 SHINGLE = 3
 PERCENT = 90
@@ -46,7 +49,7 @@ MOST_SHARED = 4           # largest l
 VERIFY_COST = 20          # list entries that one verification is worth
 CHANCE = 0.5              # partners that a rare shingle has by chance,
 SAME = 0.02               # and how often such a partner shares one more
-SKETCH_BITS = 20          # counters in each of the sketch's two rows: 2 ** 20
+SKETCH_BITS = 20          # counters in each of the sketch's three rows: 2 ** 20
 SEGMENT = 1 << 14         # counters sent in one row
 BROADCAST_KEYS = 1_000_000
 SEEN_KEYS = 200_000
@@ -60,6 +63,14 @@ def _sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, int]:
     return h, r, len(texts)
 
 
+def _distinct(h: np.ndarray, rows: np.ndarray, *order: np.ndarray) -> np.ndarray:
+    """Numbers of the distinct (hash, row), by row, then ``order`` (functions of the hash), then hash."""
+    at = np.lexsort((h, *order[::-1], rows))
+    keep = np.ones(len(at), bool)
+    keep[1:] = (h[at][1:] != h[at][:-1]) | (rows[at][1:] != rows[at][:-1])
+    return at[keep]
+
+
 def set_keys(h: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Key and size of each row's set, from distinct shingles ordered by row."""
     n = np.bincount(rows, minlength=n_rows)
@@ -69,11 +80,15 @@ def set_keys(h: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray,
 
 
 class Sketch:
-    """Count-min sketch of two rows; ``extra`` is the count beyond what collisions explain."""
+    """Counts of shingles (a count-min sketch of two rows) and of words (one row).
+
+    ``extra``: a shingle's count beyond what collisions explain.  ``weight``:
+    how common a word is, in doublings.
+    """
 
     def __init__(self, counters: np.ndarray):
         self.counters = counters
-        mean = counters.mean(axis=1).min()
+        mean = counters[:2].mean(axis=1).min()
         self.noise = mean + 6 * np.sqrt(mean) + 1
 
     @staticmethod
@@ -85,16 +100,21 @@ class Sketch:
         count = np.minimum(self.counters[0, a], self.counters[1, b])
         return np.where(count > self.noise, count - self.noise, 0.0)
 
+    def weight(self, word: np.ndarray) -> np.ndarray:
+        bits = int(self.counters.shape[1]).bit_length() - 1
+        return np.log2(1.0 + self.counters[2, self.slots(word, bits)[0]])
+
 
 def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sketch_bits: int = SKETCH_BITS) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, key, n) of every document, stored; and the corpus sketch."""
     arrow = arrow_schema(_SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros((2, 1 << sketch_bits), np.uint32)
+        counters = np.zeros((3, 1 << sketch_bits), np.uint32)
         for b in row_ranges(batches, "text"):
-            h, r, n_rows = _sets(column(b, "text"), shingle)
-            for row, slot in enumerate(Sketch.slots(h, sketch_bits)):
+            words, n_rows = Words(column(b, "text"), SPACE_TABLE), b.num_rows
+            h, r = ngram_hashes(words, shingle, short=True)
+            for row, slot in enumerate([*Sketch.slots(h, sketch_bits), Sketch.slots(words.hash, sketch_bits)[0]]):
                 at, many = np.unique(slot, return_counts=True)
                 counters[row, at] += many.astype(np.uint32)
             key, n = set_keys(*distinct_per_row(h, r), n_rows)
@@ -119,24 +139,25 @@ def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sket
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     both = stage(src.mapInArrow(run, _SETS), "sets")
     parts = both.where("segment is not null").select("segment", "counters").repartition("segment").mapInArrow(add_up, "segment int, counters binary")
-    sketch = np.zeros(2 << sketch_bits, np.float32).reshape(-1, SEGMENT)
-    for r in parts.collect():  # the sketch has a fixed size: 2 ** 21 counters
+    sketch = np.zeros(3 << sketch_bits, np.float32).reshape(-1, SEGMENT)
+    for r in parts.collect():  # the sketch has a fixed size: 3 * 2 ** SKETCH_BITS counters
         sketch[r.segment] = np.frombuffer(r.counters, np.uint64)
-    return both.where("segment is null").select("doc_id", "key", "n"), sketch.reshape(2, -1)
+    return both.where("segment is null").select("doc_id", "key", "n"), sketch.reshape(3, -1)
 
 
 def choose_need(df: np.ndarray, n: int, least: int, most_shared: int = MOST_SHARED) -> int:
     """The l whose prefix has the least estimated cost; ``df``: extra counts in prefix order.
 
-    Members of a list that is long beyond chance come again in the next lists, so l
-    divides them; partners by chance seldom do.
+    Members of a list that is long beyond chance come again in the next lists, so a
+    larger l does not thin them out and only adds entries; partners by chance seldom
+    share another shingle.
     """
     best, cost = 1, None
     sums = np.cumsum(df)
     for need in range(1, min(most_shared, least) + 1):
         size = min(n, n - least + need)
         entries = sums[size - 1]
-        now = size + entries + VERIFY_COST * (entries / need + CHANCE * size * SAME ** (need - 1))
+        now = size + entries + VERIFY_COST * (entries + CHANCE * size * SAME ** (need - 1))
         if cost is None or now < cost:
             best, cost = need, now
     return best
@@ -151,15 +172,14 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, percent: int, te
         counts = Sketch(sent.value)
         seen: set[int] = set()
         for b in row_ranges(batches, "text"):
-            h, r, n_rows = _sets(column(b, "text"), shingle)
-            h, r = distinct_per_row(h, r)
-            keys, sizes = set_keys(h, r, n_rows)
+            words, n_rows = Words(column(b, "text"), SPACE_TABLE), b.num_rows
+            h, r = ngram_hashes(words, shingle, short=True)
             extra = counts.extra(h)
-            level = np.zeros(len(h), np.uint64)
-            hot = extra > 0
-            level[hot] = np.log2(extra[hot] + 1).astype(np.uint64) + np.uint64(1)
-            order = np.lexsort((h, level, r))
-            h, extra = h[order], extra[order]
+            level = np.floor(np.log2(extra + 1)) + (extra > 0)
+            common = np.floor(run_sums(words, counts.weight(words.hash), shingle))
+            at = _distinct(h, r, level, common)
+            h, r, extra = h[at], r[at], extra[at]
+            keys, sizes = set_keys(h, r, n_rows)
             first = np.concatenate([[0], np.cumsum(sizes)])
             least = -(-percent * sizes // 100)
             take = np.minimum(sizes, sizes - least + 1)
@@ -187,8 +207,14 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, percent: int, te
 
 def posting_lists(postings: DataFrame) -> DataFrame:
     """Entries of the lists that hold more than one set, with the list's hub; stored."""
-    shared = postings.groupBy("token").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub != last").drop("last")
-    return stage(postings.join(shared, "token").dropDuplicates(["token", "key"]), "lists")
+    rank = F.expr("pos * 1099511627776L + (key & 1099511627775L)")  # by position, then the key's low 40 bits
+    shared = (postings.groupBy("token").agg(F.min("key").alias("least"), F.max("key").alias("last"), F.min(rank).alias("hub"))
+              .where("least != last").drop("least", "last"))
+    shared = stage(shared, "shared")
+    if shared.count() <= BROADCAST_KEYS:  # else a shuffled join
+        shared = F.broadcast(shared)
+    lists = postings.join(shared, "token").dropDuplicates(["token", "key"])
+    return stage(lists.withColumn("is_hub", rank == F.col("hub")).drop("hub"), "lists")
 
 
 def member_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -218,8 +244,11 @@ def member_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int
 def _matches(x: DataFrame, y: DataFrame, percent: int, apart: str) -> DataFrame:
     """Pairs (a, b) of list entries that share at least the lesser need of them."""
     return (x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token")).where(f"{apart} and {_allowed(percent)}")
-            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"), F.least("x.need", "y.need").alias("need"))
-            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b"))
+            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"), F.least("x.need", "y.need").alias("need"),
+                    F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")).alias("room"), (F.col("x.n") + F.col("y.n")).alias("both"))
+            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"), F.max("room").alias("room"), F.max("both").alias("both"))
+            # the first shared shingle bounds the overlap by what comes after it
+            .where(f"shared >= need and {100 + percent} * room >= {percent} * both").select("a", "b"))
 
 
 def verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -252,8 +281,8 @@ def links(docs: DataFrame, sets: DataFrame, sketch: np.ndarray, shingle: int, pe
           most_shared: int = MOST_SHARED) -> tuple[DataFrame, DataFrame]:
     """Similar pairs of distinct sets that join the same components as all of them; and those components."""
     lists = posting_lists(prefixes(docs, sketch, shingle, percent, text_col, most_shared))
-    # A hub that is not the least key in all lists it shares is undercounted here; the second step misses nothing.
-    tried = stage(_matches(lists.where("key = hub"), lists.where("key != hub"), percent, "true"), "hub-pairs")
+    # A hub that is not first in all lists it shares is undercounted here; the second step misses nothing.
+    tried = stage(_matches(lists.where("is_hub"), lists.where("not is_hub"), percent, "x.key != y.key"), "hub-pairs")
     found = verify(tried, member_sets(docs, sets, tried, shingle, id_col, text_col), percent)
     roots = connected_components(found)
     placed = lists.join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -286,10 +315,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id
     """``docs`` with one row of each group: that of the least id (null ids last), then set key; rows without words all stay."""
     rooted = groups(docs, shingle, percent, id_col, text_col).where("n > 0")
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
-    losers = stage(rooted.join(first, "root").where("not (doc_id <=> first.doc_id and key = first.key)").select("doc_id", F.col("key").alias("lost")).distinct(), "losers")
-    if losers.count() <= BROADCAST_KEYS:
+    losers = stage(rooted.join(first, "root").where("not (doc_id <=> first.doc_id and key = first.key)").select(F.col("doc_id").alias("lost_id"), F.col("key").alias("lost_key")).distinct(), "losers")
+    small = losers.count() <= BROADCAST_KEYS
+    key, lost_id, lost_key = (free_name(docs, x) for x in ("_set_key", "_lost_id", "_lost_key"))
+    losers = losers.withColumnsRenamed({"lost_id": lost_id, "lost_key": lost_key})
+    if small:
         losers = F.broadcast(losers)
-    key = free_name(docs, "_set_key")
 
     @F.pandas_udf("long")
     def set_key(texts):
@@ -304,7 +335,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id
         return pd.Series(np.concatenate(out))
 
     keyed = docs.withColumn(key, set_key(F.col(text_col).cast("string")))
-    kept = keyed.join(losers, F.col(id_col).cast("long").eqNullSafe(losers["doc_id"]) & (F.col(key) == F.col("lost")), "left_anti")
+    kept = keyed.join(losers, F.col(id_col).cast("long").eqNullSafe(F.col(lost_id)) & (F.col(key) == F.col(lost_key)), "left_anti")
     if not rooted.groupBy("doc_id", "key").count().where("count > 1").isEmpty():  # repeated rows: one of each stays
         kept = kept.where(F.col(key) == 0).unionByName(kept.where(F.col(key) != 0).dropDuplicates([id_col, key]))
     return kept.drop(key)

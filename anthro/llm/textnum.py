@@ -112,6 +112,16 @@ class Words:
         return self.data[self.start[i]:self.end[i]]
 
 
+def run_sums(words: Words, value: np.ndarray, n: int) -> np.ndarray:
+    """Sum of a value of each word over the runs of ``ngram_hashes(words, n, short=True)``, in its order."""
+    sums = np.concatenate([[0], np.cumsum(value)])
+    m = max(0, len(value) - n + 1)
+    doc = words.doc
+    whole = (sums[n:] - sums[:m])[doc[:m] == doc[n - 1:]] if m else np.zeros(0)
+    few = np.flatnonzero((words.count > 0) & (words.count < n)) if n > 1 else np.zeros(0, np.int64)
+    return np.concatenate([whole, sums[words.first[few + 1]] - sums[words.first[few]]])
+
+
 def ngram_hashes(words: Words, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every run of ``n`` words inside a row.
 

@@ -94,7 +94,7 @@ def test_need_is_the_cheapest():
         least = -(-90 * n // 100)
         df = np.sort(rng.integers(0, 50, n)).astype(float)
         size = {k: min(n, n - least + k) for k in range(1, min(J.MOST_SHARED, least) + 1)}
-        cost = {k: m + (1 + J.VERIFY_COST / k) * df[:m].sum() + J.VERIFY_COST * J.CHANCE * m * J.SAME ** (k - 1) for k, m in size.items()}
+        cost = {k: m + (1 + J.VERIFY_COST) * df[:m].sum() + J.VERIFY_COST * J.CHANCE * m * J.SAME ** (k - 1) for k, m in size.items()}
         assert cost[J.choose_need(df, n, least)] == pytest.approx(min(cost.values()))
 
 
