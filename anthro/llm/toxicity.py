@@ -36,6 +36,7 @@ from anthro.llm.textnum import Words, byte_table, distinct_per_row, mix
 MAX_DOCS = 12_000
 MAX_FEATURES = 6_000
 LEAST_TEXTS = 4           # training texts that a feature must be in
+LEAST_Z = 2.5             # log-odds statistic that it must reach
 SEVERE = 3
 RIDGE = 0.003
 STEPS = 300
@@ -155,6 +156,7 @@ def telling_features(rows: DataFrame, max_features: int, only: bool = False) ->
     c = c.where(f"a + b >= {LEAST_TEXTS}")
     odds = F.log((F.col("a") + 0.5) / (F.lit(up + 0.5) - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (F.lit(low + 0.5) - F.col("b") + 0.5))
     weight = F.abs(odds) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    c = c.where(weight >= LEAST_Z)
     if only:
         c = c.where("b = 0")
     top = c.orderBy(F.desc(weight), "feature").limit(max_features).select("feature").toArrow()
