@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from anthro.session import scratch_path
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 500 rows: what a worker holds then follows long texts, not ten thousand of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,6 +59,7 @@ def row_ranges(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Reco
         if b.num_rows:
             for lo, hi in slices(column(b, text)):
                 yield b.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(),

@@ -49,10 +49,11 @@ MOST_SHARED = 4           # largest l
 VERIFY_COST = 20          # list entries that one verification is worth
 CHANCE = 0.5              # partners that a rare shingle has by chance,
 SAME = 0.02               # and how often such a partner shares one more
-SKETCH_BITS = 20          # counters in each of the sketch's three rows: 2 ** 20
+SKETCH_BITS = 21          # counters in each of the sketch's three rows: 2 ** 21
+MOST_COUNT = 65_535       # at which a counter stops
 SEGMENT = 1 << 14         # counters sent in one row
 BROADCAST_KEYS = 1_000_000
-SEEN_KEYS = 200_000
+SEEN_KEYS = 100_000
 
 _SETS = "doc_id bigint, key bigint, n int, segment int, counters binary"
 _POSTINGS = "token bigint, key bigint, n int, pos int, need int"
@@ -97,7 +98,7 @@ class Sketch:
 
     def extra(self, h: np.ndarray) -> np.ndarray:
         a, b = self.slots(h, int(self.counters.shape[1]).bit_length() - 1)
-        count = np.minimum(self.counters[0, a], self.counters[1, b])
+        count = np.minimum(self.counters[0, a], self.counters[1, b]).astype(float)
         return np.where(count > self.noise, count - self.noise, 0.0)
 
     def weight(self, word: np.ndarray) -> np.ndarray:
@@ -110,38 +111,39 @@ def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sket
     arrow = arrow_schema(_SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros((3, 1 << sketch_bits), np.uint32)
+        counters = np.zeros((3, 1 << sketch_bits), np.uint16)
         for b in row_ranges(batches, "text"):
             words, n_rows = Words(column(b, "text"), SPACE_TABLE), b.num_rows
             h, r = ngram_hashes(words, shingle, short=True)
             for row, slot in enumerate([*Sketch.slots(h, sketch_bits), Sketch.slots(words.hash, sketch_bits)[0]]):
                 at, many = np.unique(slot, return_counts=True)
-                counters[row, at] += many.astype(np.uint32)
+                counters[row, at] = np.minimum(counters[row, at] + many, MOST_COUNT)
             key, n = set_keys(*distinct_per_row(h, r), n_rows)
             none = pa.nulls(n_rows, pa.int32()), pa.nulls(n_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(key), pa.array(n.astype(np.int32)), *none], schema=arrow)
         flat = counters.reshape(-1, SEGMENT)
         full = np.flatnonzero(flat.any(axis=1))
-        if len(full):
-            none = [pa.nulls(len(full), t) for t in (pa.int64(), pa.int64(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*none, pa.array(full.astype(np.int32)), pa.array([flat[i].tobytes() for i in full], pa.binary())],
+        for lo in range(0, len(full), 32):
+            part = full[lo:lo + 32]
+            none = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(part.astype(np.int32)), pa.array([flat[i].tobytes() for i in part], pa.binary())],
                                              schema=arrow)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for i, raw in zip(column(b, "segment").to_pylist(), column(b, "counters"), strict=True):
-                x = np.frombuffer(raw.as_buffer(), np.uint32)
-                sums[i] = sums[i] + x if i in sums else x.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+                x = np.frombuffer(raw.as_buffer(), np.uint16)
+                sums[i] = np.minimum(sums[i] + x, MOST_COUNT) if i in sums else x.astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.uint16).tobytes() for x in sums.values()], pa.binary())],
                                          schema=arrow_schema("segment int, counters binary"))
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     both = stage(src.mapInArrow(run, _SETS), "sets")
     parts = both.where("segment is not null").select("segment", "counters").repartition("segment").mapInArrow(add_up, "segment int, counters binary")
-    sketch = np.zeros(3 << sketch_bits, np.float32).reshape(-1, SEGMENT)
+    sketch = np.zeros(3 << sketch_bits, np.uint16).reshape(-1, SEGMENT)
     for r in parts.collect():  # the sketch has a fixed size: 3 * 2 ** SKETCH_BITS counters
-        sketch[r.segment] = np.frombuffer(r.counters, np.uint64)
+        sketch[r.segment] = np.frombuffer(r.counters, np.uint16)
     return both.where("segment is null").select("doc_id", "key", "n"), sketch.reshape(3, -1)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anthro.llm import decontam, jaccard, packing, pii, toxicity
-from anthro.llm.common import read_table, stage
+from anthro.llm.common import read_table, small_batches, stage
 
 PII_KEY = "surrogates of this corpus"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,8 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by five-word shingle similarity of 0.8 or more, the least id stays.
 
-    Documents without words or id are in no group and stay.
+    Documents without words are in no group and stay.
     """
+    small_batches(spark)
     return jaccard.keep_one(docs, shingle=5, percent=80)
 
 
@@ -39,12 +40,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes surrogates; ``n_chars`` follows the new text."""
+    small_batches(spark)
     out = pii.anonymise(docs.select(*COLUMNS), PII_KEY)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of 2048-token sequences."""
+    small_batches(spark)
     pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
