@@ -60,7 +60,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Trained models and dynamic programming have no SQL form; tests/llm/test_pipeline.py holds each stage against brute force.
+#: Trained models and dynamic programming have no SQL form; tests/llm/test_corpus_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
