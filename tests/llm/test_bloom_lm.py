@@ -100,3 +100,27 @@ def test_whole_table(spark):
     rows = QUERIES["op7_lm_scoring"](spark, sf).collect()
     compare(rows, [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
+
+
+def texts_df(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+def test_filter_grows_and_a_large_one_is_joined(spark):
+    """Every counted level is kept at any size, and a filter that workers cannot hold gives the same scores."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 150) % 20000) for _ in range(300)] + [None, "", "new words only"]
+    df = texts_df(spark, texts)
+    learn, held = F.col("doc_id") != 302, F.col("doc_id") == 302
+    counts = B.ngram_counts(df.where(learn).select("text"))
+    f = B.build_filter(counts)
+    rows = counts.toArrow()
+    gram, n = np.asarray(rows["gram"]).view(np.uint64), np.asarray(rows["n"])
+    assert len(f.bits) > 8192 and (f.level(gram) >= B.level_of(n)).all()
+    assert np.unpackbits(f.bits).mean() < 0.3
+    want = sorted(B.train_and_score(df, learn, held).collect())
+    got = sorted(B.train_and_score(df, learn, held, sent_bytes=8192, head_words=50).collect())
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-12)
+    with pytest.raises(ValueError):
+        B.build_filter(counts.where("kind = 1"), max_bytes=64)
