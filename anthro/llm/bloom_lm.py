@@ -50,7 +50,6 @@ BITS_PER_LEVEL = 10          # a quarter of the bits get set
 SENT_BYTES = 96 << 20        # of a filter that workers hold; a larger one is joined
 TASK_SEGMENTS = 512          # filled by one task
 BLOCK_SEGMENTS = 64          # of a stored filter, probed together
-LEAST_PAIR = 2               # pairs seen once carry no count worth keeping
 HEAD_WORDS = 500_000
 TUNE_TEXTS = 400
 TUNE_CHARS = 50_000
@@ -124,8 +123,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
                 size = 0
         yield from flush()
 
-    return stage(texts.select("text").mapInArrow(run, _COUNTS).groupBy("kind", "gram").agg(F.sum("n").alias("n"))
-                 .where(f"kind = 1 or n >= {LEAST_PAIR}"), "ngram-counts")
+    return stage(texts.select("text").mapInArrow(run, _COUNTS).groupBy("kind", "gram").agg(F.sum("n").alias("n")), "ngram-counts")
 
 
 @dataclass

@@ -124,3 +124,13 @@ def test_filter_grows_and_a_large_one_is_joined(spark):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-12)
     with pytest.raises(ValueError):
         B.build_filter(counts.where("kind = 1"), max_bytes=64)
+
+
+def test_pairs_seen_once_count(spark):
+    texts = ["one two", "two one", "three four five"]
+    counts = B.ngram_counts(texts_df(spark, texts).select("text"))
+    want = sum(len(set(zip(tokens(t), tokens(t)[1:]))) for t in texts)
+    assert counts.where("kind = 2").agg(F.sum("n")).first()[0] == want
+    df = texts_df(spark, [f"a{i} b{i}" for i in range(40)] + ["a1 b1 a1 b1", "a1 b1", "a1 b1", "a7 b7", "a7 b9"])
+    got = {r.doc_id: r.score for r in B.train_and_score(df, F.col("doc_id") < 43, F.col("doc_id") >= 43).collect()}
+    assert got[43] > got[44] + 0.01               # a pair seen once against one never seen
