@@ -14,9 +14,9 @@ Scoring works over the V known tokens and one unknown token, the event space of
 the base score.  The unknown token gets the Good-Turing share r = n1 / N (n1:
 words seen once); P(w) = (1 - r) * c(w) / N for the others, with filter counts.
 After a known token u, P(w | u) = a * min(1, c(u w) / c(u)) + (1 - a) * P(w).
-The weight a is fitted by expectation maximisation with leave-one-out counts on
-at most ``TUNE_TEXTS`` training texts (of at most ``TUNE_CHARS`` characters,
-chosen by hash).  Text ends are a token; a text's first token has no u.
+The weight a is fitted by expectation maximisation with leave-one-out counts over
+all training texts: a token enters by three levels, so Spark counts the
+combinations of levels once, and every round is a sum over these.  Text ends are a token; a text's first token has no u.
 
 ``base_score`` needs exact counts of all words.  The commonest words' counts
 (at most ``head_words``) go to the workers as a sorted array; other words of a
@@ -51,8 +51,6 @@ SENT_BYTES = 96 << 20        # of a filter that workers hold; a larger one is jo
 TASK_SEGMENTS = 512          # filled by one task
 BLOCK_SEGMENTS = 64          # of a stored filter, probed together
 HEAD_WORDS = 500_000
-TUNE_TEXTS = 400
-TUNE_CHARS = 50_000
 END = np.uint64(0x8F1BBCDCBFA53E0B)   # stands for the end token among word hashes
 CHUNK = 1 << 21              # tokens counted together before they are sent
 LEVELS = 1 << 18             # tokens scored together
@@ -370,7 +368,7 @@ def train(texts: DataFrame, counts: DataFrame, filter: Filter | None, head_words
 
 
 def level_counts(scored: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word, before, pair, many): how often each combination of levels occurs in the training texts.
+    """(word, before, pair, many): how often each combination of levels occurs in all training texts.
 
     Levels are few (some 40 at 10^7 occurrences), so their combinations are, at any size."""
     out = "gram bigint, n bigint"
@@ -493,7 +491,6 @@ def train_and_score(docs: DataFrame, learn: Column, held_out: Column, sent_bytes
     if not sent:
         src, common = _joined_levels(src, counts, table, segments, head_words)
     scored = levelled(src, model, common)
-    sample = src.where("learn").where(F.length("text") <= TUNE_CHARS).orderBy(F.xxhash64("text"), "text").limit(TUNE_TEXTS)
-    model.fit_weight(*level_counts(levelled(sample, model, common)))
+    model.fit_weight(*level_counts(scored))
     return score(scored, model, words).withColumn("held_out", F.coalesce(held_out, F.lit(False))).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -134,3 +134,28 @@ def test_pairs_seen_once_count(spark):
     df = texts_df(spark, [f"a{i} b{i}" for i in range(40)] + ["a1 b1 a1 b1", "a1 b1", "a1 b1", "a7 b7", "a7 b9"])
     got = {r.doc_id: r.score for r in B.train_and_score(df, F.col("doc_id") < 43, F.col("doc_id") >= 43).collect()}
     assert got[43] > got[44] + 0.01               # a pair seen once against one never seen
+
+
+def test_weight_is_fitted_on_all_texts(spark):
+    """Sums over every training text, long ones too, against a plain loop; copies of one text do not stand for the rest."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 60, 20)) for _ in range(900)] + ["x y z " * 20000] + ["same text again here"] * 450
+    df = texts_df(spark, texts)
+    counts = B.ngram_counts(df.select("text"))
+    f = B.build_filter(counts)
+    m, _ = B.train(df.select("text"), counts, f)
+    scored = B.levelled(df.select(F.col("doc_id").alias("id"), F.lit(True).alias("learn"), "text"), m)
+    m.fit_weight(*B.level_counts(scored))
+
+    import pyarrow as pa
+    t, rows = B.token_stream(pa.array(texts))
+    n = np.where(t == B.END, len(texts), f.count(t)) - 1
+    pair, has = B.pairs_of(t, rows)
+    at = np.flatnonzero(has)
+    at = at[n[at - 1] > 0]
+    alone = np.where(n[at] > 0, (1 - m.unknown) * n[at] / m.tokens, m.unknown)
+    together = np.minimum(1, np.maximum(f.count(pair[at]) - 1, 0) / n[at - 1])
+    a = 0.3
+    for _ in range(20):
+        a = np.clip(np.mean(a * together / (a * together + (1 - a) * alone)), 1e-4, 0.999)
+    assert m.weight == pytest.approx(a, rel=1e-9)
