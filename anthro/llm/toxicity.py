@@ -6,7 +6,8 @@ probabilities.  Features are a text's distinct words and word beginnings (4 to
 8 bytes), as 64-bit hashes: invented or inflected forms share beginnings.
 
 Training uses at most about ``max_docs`` labelled texts (chosen by a hash of the
-id, one share for each grade).  Features are counted for each grade by Spark;
+id, one share for each grade), each with the weight 1 / share, so that base rate,
+severity and verdicts are those of all labelled texts.  Features are counted for each grade by Spark;
 the ``max_features`` most telling ones are kept, so that the design matrix, the
 fit and the model sent to the workers are bounded.
 
@@ -22,6 +23,7 @@ expected grade is that grade (0 without labels); extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,11 +87,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, n_features: int, n_grades: int,
-                ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and rising thresholds from a 0/1 design given by its entries, by Adam on the likelihood."""
+                ridge: float = RIDGE, steps: int = STEPS, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and rising thresholds from a 0/1 design given by its entries, by Adam on the likelihood; ``weight``: how many texts a row stands for."""
     n = len(grade)
+    part = np.full(n, 1 / max(n, 1)) if weight is None else weight / weight.sum()
     w = np.zeros(n_features)
-    share = np.array([np.clip(np.mean(grade > k), 1e-3, 1 - 1e-3) for k in range(n_grades - 1)])
+    share = np.array([np.clip(part[grade > k].sum(), 1e-3, 1 - 1e-3) for k in range(n_grades - 1)])
     theta = -np.log(share / (1 - share))
     theta = np.maximum.accumulate(theta + 1e-3 * np.arange(len(theta)))
     p = np.concatenate([w, [theta[0]], np.log(np.maximum(np.diff(theta), 1e-3))])
@@ -103,10 +106,10 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, n_feature
         at_least = np.where(grade > 0, sigmoid(score - theta[k_low]), 1.0)              # P(grade >= own)
         own = np.maximum(at_least - above, 1e-9)
         d_low, d_top = at_least * (1 - at_least) / own, above * (1 - above) / own
-        d_score = (d_low - d_top) / n
+        d_score = (d_low - d_top) * part
         d_theta = np.zeros(n_grades - 1)
-        np.add.at(d_theta, k_low[grade > 0], -d_low[grade > 0] / n)
-        np.add.at(d_theta, k_top[grade < n_grades - 1], d_top[grade < n_grades - 1] / n)
+        np.add.at(d_theta, k_low[grade > 0], -(d_low * part)[grade > 0])
+        np.add.at(d_theta, k_top[grade < n_grades - 1], (d_top * part)[grade < n_grades - 1])
         tail = np.cumsum(d_theta[::-1])[::-1]
         grad = np.concatenate([np.bincount(cols, d_score[rows], n_features) - ridge * w / max(1, np.sqrt(n_features)), [tail[0]], tail[1:] * gaps])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
@@ -118,15 +121,15 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, n_feature
 # ---------------------------------------------------------------- training
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, max_docs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, grade) of a bounded share of the labelled texts, stored."""
+    """(id, text, grade, weight) of a bounded share of the labelled texts, stored; weight: 1 / the grade's share."""
     lab = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("grade")).where("id is not null and grade is not null")
     lab = lab.groupBy("id").agg(F.max("grade").alias("grade"))
     per_grade = {r.grade: r.n for r in lab.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     if not per_grade:
-        return stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).alias("grade")).limit(0), "training")
+        return stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).alias("grade"), F.lit(1.0).alias("weight")).limit(0), "training")
     room = max_docs / len(per_grade)
-    share = F.coalesce(*[F.when(F.col("grade") == g, F.lit(min(1.0, room / n))) for g, n in per_grade.items()])
-    chosen = lab.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1_000_000)) < share * 1_000_000)
+    millionths = F.coalesce(*[F.when(F.col("grade") == g, F.lit(math.ceil(min(1.0, room / n) * 1_000_000))) for g, n in per_grade.items()])
+    chosen = lab.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1_000_000)) < millionths).withColumn("weight", F.lit(1e6) / millionths)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     return stage(texts.join(F.broadcast(chosen), "id"), "training")  # about max_docs labels
 
@@ -166,7 +169,7 @@ def telling_features(rows: DataFrame, max_features: int, only: bool = False) ->
 def grades_from_labels(rows: DataFrame, severe: int = SEVERE) -> DataFrame:
     """``rows`` with grade 1 raised to 2 where telling words occur ``severe`` times or more; stored."""
     marks = telling_features(rows, 200, only=True)
-    out = "id bigint, text string, grade int"
+    out = "id bigint, text string, grade int, weight double"
     arrow = arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,18 +180,18 @@ def grades_from_labels(rows: DataFrame, severe: int = SEVERE) -> DataFrame:
                 at = np.minimum(np.searchsorted(marks, f), len(marks) - 1)
                 many = np.bincount(r[marks[at] == f], minlength=b.num_rows)
                 grade[(grade > 0) & (many >= severe)] = 2
-            yield pa.RecordBatch.from_arrays([column(b, "id"), column(b, "text"), pa.array(grade.astype(np.int32))], schema=arrow)
+            yield pa.RecordBatch.from_arrays([column(b, "id"), column(b, "text"), pa.array(grade.astype(np.int32)), column(b, "weight")], schema=arrow)
 
-    return stage(rows.select("id", "text", "grade").mapInArrow(run, out), "graded")
+    return stage(rows.select("id", "text", "grade", "weight").mapInArrow(run, out), "graded")
 
 
 def train(rows: DataFrame, max_features: int = MAX_FEATURES) -> Model:
-    """Fit on (text, grade) rows; grades from 0."""
+    """Fit on (text, grade, weight) rows; grades from 0."""
     n_grades = 1 + (rows.agg(F.max("grade")).first()[0] or 0)
     if n_grades == 1:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
     features = telling_features(rows, max_features)
-    out = "grade int, cols array<int>"
+    out = "grade int, weight double, cols array<int>"
     arrow = arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,18 +201,19 @@ def train(rows: DataFrame, max_features: int = MAX_FEATURES) -> Model:
             hit = features[at] == f
             edges = np.searchsorted(r[hit], np.arange(b.num_rows + 1)).astype(np.int32)
             cols = pa.ListArray.from_arrays(edges, pa.array(at[hit].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([column(b, "grade"), cols], schema=arrow)
+            yield pa.RecordBatch.from_arrays([column(b, "grade"), column(b, "weight"), cols], schema=arrow)
 
-    design = rows.select("text", "grade").mapInArrow(run, out).toArrow() if len(features) else None  # max_docs rows of kept features
+    design = rows.select("text", "grade", "weight").mapInArrow(run, out).toArrow() if len(features) else None  # max_docs rows of kept features
     if design is None:
-        grade = np.array([r.grade for r in rows.select("grade").collect()])
+        plain = rows.select("grade", "weight").collect()
+        grade, weight = np.array([r.grade for r in plain]), np.array([r.weight for r in plain])
         where, cols = np.zeros(0, np.int64), np.zeros(0, np.int64)
     else:
-        grade = np.asarray(design["grade"])
+        grade, weight = np.asarray(design["grade"]), np.asarray(design["weight"])
         lists = design["cols"].combine_chunks()
         cols = np.asarray(lists.flatten())
         where = np.repeat(np.arange(len(grade)), np.asarray(pa.compute.list_value_length(lists)))
-    w, theta = fit_ordinal(where, cols, grade, len(features), n_grades)
+    w, theta = fit_ordinal(where, cols, grade, len(features), n_grades, weight=weight)
     return Model(features, w, theta)
 
 

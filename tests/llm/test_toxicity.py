@@ -78,6 +78,20 @@ def test_no_labels(spark):
     assert T.keep_clean(docs, one).count() == 5
 
 
+def test_thinned_grade_keeps_the_base_rate(spark):
+    """Clean labels far beyond their share of max_docs: probabilities stay those of all labels."""
+    texts = [f"plain word{i % 7} text more" + (" vileword" if (i % 10 == 0 and i % 20 < 10 and i % 3) or i % 67 == 0 else "") for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9000, None), (9001, ""), (9002, "unheard of")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(3000)], "doc_id bigint, toxic int")
+    whole, thin = T.learn(docs, labels), T.learn(docs, labels, max_docs=600)
+    probes = docs.where("doc_id >= 9000 or doc_id in (1, 10)")
+    a, b = ({r.doc_id: r for r in T.score(probes, m).collect()} for m in (whole, thin))
+    odds = {k: [np.log(x[k].p_toxic / (1 - x[k].p_toxic)) for x in (a, b)] for k in a}
+    assert all(abs(y - x) < 1.0 for x, y in odds.values()), odds
+    assert all(not a[k].toxic and not b[k].toxic for k in (9000, 9001, 9002))
+    assert {r.doc_id for r in T.keep_clean(probes, thin).collect()} >= {9000, 9001, 9002}
+
+
 def test_held_out(spark):
     """Learn from two thirds of the labels, judge the rest."""
     sf = "/root/testdata/sf0.1"
