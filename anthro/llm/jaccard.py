@@ -84,7 +84,8 @@ class Sketch:
     """Counts of shingles (a count-min sketch of two rows) and of words (one row).
 
     ``extra``: a shingle's count beyond what collisions explain.  ``weight``:
-    how common a word is, in doublings.
+    how common a word is, in sixteenths of a doubling; whole, so that sums over shingles
+    are the same wherever these stand.
     """
 
     def __init__(self, counters: np.ndarray):
@@ -103,7 +104,7 @@ class Sketch:
 
     def weight(self, word: np.ndarray) -> np.ndarray:
         bits = int(self.counters.shape[1]).bit_length() - 1
-        return np.log2(1.0 + self.counters[2, self.slots(word, bits)[0]])
+        return np.floor(16 * np.log2(1.0 + self.counters[2, self.slots(word, bits)[0]])).astype(np.int64)
 
 
 def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sketch_bits: int = SKETCH_BITS) -> tuple[DataFrame, np.ndarray]:
@@ -178,7 +179,7 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, percent: int, te
             h, r = ngram_hashes(words, shingle, short=True)
             extra = counts.extra(h)
             level = np.floor(np.log2(extra + 1)) + (extra > 0)
-            common = np.floor(run_sums(words, counts.weight(words.hash), shingle))
+            common = run_sums(words, counts.weight(words.hash), shingle) // 16
             at = _distinct(h, r, level, common)
             h, r, extra = h[at], r[at], extra[at]
             keys, sizes = set_keys(h, r, n_rows)

@@ -122,3 +122,22 @@ def test_whole_table(spark):
     got = sorted((tuple(r) for r in J.near_duplicates(df).collect()), key=str)
     assert got == want
     assert sum(d != c for d, _, c in got) > 20
+
+
+def test_shingle_order_does_not_depend_on_place():
+    """How common a shingle is comes out the same after any other words."""
+    import numpy as np
+    import pyarrow as pa
+
+    from anthro.llm.jaccard import MOST_COUNT, Sketch
+    from anthro.llm.textnum import SPACE_TABLE, Words, run_sums
+
+    rng = np.random.default_rng(7)
+    counters = rng.integers(0, 2000, (3, 1 << 12)).astype(np.uint16)
+    counters[2, rng.random(1 << 12) < 0.3] = MOST_COUNT
+    sketch = Sketch(counters)
+    text = " ".join(f"w{x}" for x in rng.zipf(1.3, 60_000) % 5000)
+    words = Words(pa.array([text]), SPACE_TABLE)
+    weight = sketch.weight(words.hash)
+    direct = sum(weight[k:len(weight) - 2 + k] for k in range(3))
+    assert (run_sums(words, weight, 3) == direct).all()
