@@ -143,4 +143,6 @@ def test_grid_validation(spark):
     with pytest.raises(GridError, match="NULL or NaN"):
         validate_grid(grid_from_rows(spark, [("male", 1.0, float("nan"), 1, 1)]))
     st = validate_grid(grid_from_rows(spark, [("male", 1.0, 1, 1, 1), ("female", 3.0, 1, 1, 1)]))
+    label_bytes = st.pop("label_bytes")
     assert st == {"n": 2, "min": 1.0, "max": 3.0, "n_groups": 2}
+    assert label_bytes == len("female")  # the longest label
