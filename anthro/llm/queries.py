@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from anthro.llm import bloom_lm, decontam, jaccard, langid, licenses, mincut_html, packing, pii, simhash, toxicity
+from anthro.llm import (bloom_lm, decontam, divergence, jaccard, langid, licenses, line_rules, mincut_html, oracle, packing, pii, simhash, spelling,
+                        toxicity)
 from anthro.llm.common import hash_share, read_table
 
 
@@ -64,6 +65,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.verdicts(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"), noise_modulus=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -75,8 +88,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontamination": op10_decontamination,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
-#: Models, hashes, tokenisers and groups by reachability have no SQL form; tests/llm holds each query against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: Models, hashes, tokenisers and groups by reachability have no SQL form; tests/llm holds those queries against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op11_source_divergence": oracle.OP11_SOURCE_DIVERGENCE,
+    "op12_quality_rules": oracle.OP12_QUALITY_RULES,
+    "op13_spelling_variants": oracle.OP13_SPELLING_VARIANTS,
+}

@@ -11,7 +11,7 @@ Null texts count as empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,10 +72,11 @@ class Words:
 
     ``start``/``end``: byte bounds in ``data`` (lower-cased); ``doc``: row of
     each word; ``first``: index of each row's first word (one more entry at the
-    end); ``hash``: 64-bit hash of each word.
+    end); ``hash``: 64-bit hash of each word.  ``blank``: which further bytes of
+    the buffer separate words.
     """
 
-    def __init__(self, texts: pa.Array, table: bytes):
+    def __init__(self, texts: pa.Array, table: bytes, blank: Callable[[np.ndarray], np.ndarray] | None = None):
         texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
@@ -85,6 +86,9 @@ class Words:
         self.data = (data[lo:hi].to_pybytes() if data is not None else b"").translate(table)
         self.offsets = offsets - lo
         raw = np.frombuffer(self.data, np.uint8)
+        if blank is not None:
+            raw = np.where(blank(raw), np.uint8(32), raw)
+            self.data = raw.tobytes()
         n = len(raw)
         solid = raw != 32
         begin, stop = solid.copy(), solid.copy()
@@ -163,3 +167,13 @@ def distinct_per_row(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray,
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
     return h[keep], r[keep]
+
+
+def distinct_words(words: Words, which: np.ndarray) -> pa.Array:
+    """The words numbered ``which`` as strings, cut out of the buffer by whole-array arithmetic."""
+    sizes = (words.end - words.start)[which]
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(words.start[which] - (ends - sizes), sizes)
+    data = np.frombuffer(words.data, np.uint8)[at]
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(which), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes()))
