@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,13 +13,33 @@ from pyspark.sql import functions as F
 from anthro.session import scratch_path
 
 
+#: Arrow batches of at most 500 rows and 4 MB: what a worker holds then follows long texts, not ten thousand of them.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 500 rows: what a worker holds then follows long texts, not ten thousand of them."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    """For the session's whole rest: called by the registered queries, whose result runs after they return."""
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, conf: dict[str, str] = BATCHES) -> Iterator[None]:
+    """Arrow batch sizes for what runs inside; the session's own come back after."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,7 +52,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with batches_of(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,7 +82,16 @@ def row_ranges(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Reco
         if b.num_rows:
             for lo, hi in slices(column(b, text)):
                 yield b.slice(lo, hi - lo)
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, so that a worker that waits for its next task holds little."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(),

@@ -31,11 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anthro.llm.common import arrow_schema, column, record_batch, row_ranges, stage
-from anthro.llm.textnum import ALNUM_TABLE, Words
+from anthro.llm.common import arrow_schema, column, give_back, record_batch, row_ranges, stage
+from anthro.llm.textnum import ALNUM_TABLE, Words, slices
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
+MOST_WINDOWS = 20_000     # windows opened at once,
+MOST_POSITIONS = 500_000  # and positions of their rarest words
 BROADCAST_KEYS = 1_000_000
 
 INDEX_SCHEMA = "shard string, doc_ids array<bigint>, first binary, terms binary, counts binary, positions binary"
@@ -85,14 +87,6 @@ class Shard:
         self.n = len(self.positions)
         self._keys: np.ndarray | None = None
 
-    def lookup(self, terms: np.ndarray) -> np.ndarray:
-        """Number of each term in the shard, -1 where it does not occur."""
-        if not len(self.terms):
-            return np.full(len(terms), -1)
-        i = np.searchsorted(self.terms, terms)
-        i[i == len(self.terms)] = 0
-        return np.where(self.terms[i] == terms, i, -1)
-
     def holds(self, term_no: np.ndarray, position: np.ndarray) -> np.ndarray:
         """Whether the posting list of each term has the position."""
         if self._keys is None:  # (term, position) pairs are in order: one sorted array of all lists
@@ -108,45 +102,70 @@ class Shard:
 # ---------------------------------------------------------------- benchmark
 
 class Block:
-    """Windows of some benchmark items: for each length, item rows and a matrix of terms."""
+    """Some benchmark items: their words one after the other, and windows as places in them.
+
+    ``terms``: distinct words; ``term_of``: number of each word in ``terms``;
+    ``first``: place of each item's first word (one more entry at the end);
+    ``start``/``length``: place and size of each window.
+    """
 
     def __init__(self, item_ids: list, texts: list, window: int):
         self.items = item_ids
-        w = Words(pa.array(texts, pa.string()), ALNUM_TABLE)
-        self.words = [w.hash[w.first[i]:w.first[i + 1]] for i in range(len(texts))]
-        by_length: dict[int, list] = {}
-        for i, h in enumerate(self.words):
-            n = min(window, len(h))
-            if n:
-                m = np.lib.stride_tricks.sliding_window_view(h, n)
-                by_length.setdefault(n, []).append((np.full(len(m), i), m))
-        self.windows = {n: (np.concatenate([a for a, _ in x]), np.concatenate([m for _, m in x]))
-                        for n, x in by_length.items()}
+        texts = pa.array(texts, pa.string())
+        parts = [(w.hash, w.count) for w in (Words(texts.slice(lo, hi - lo), ALNUM_TABLE) for lo, hi in slices(texts))]
+        self.terms, self.term_of = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for h, _ in parts]]), return_inverse=True)
+        self.term_of = self.term_of.astype(np.int32)
+        count = np.concatenate([np.zeros(0, np.int64), *[c for _, c in parts]])
+        self.first = np.concatenate([[0], np.cumsum(count)])
+        size = np.minimum(window, count)
+        many = np.where(size > 0, count - size + 1, 0)
+        self.start = (np.arange(int(many.sum())) + np.repeat(self.first[:-1] - (np.cumsum(many) - many), many)).astype(np.int32)
+        self.length = np.repeat(size, many).astype(np.int16)
+
+    def numbers(self, shard: Shard) -> np.ndarray:
+        """Number of each distinct word in the shard, -1 where it does not occur."""
+        no = np.full(len(self.terms) + 1, -1, np.int32)
+        if len(self.terms) and len(shard.terms):
+            at = np.searchsorted(self.terms, shard.terms)
+            same = np.flatnonzero(self.terms[np.minimum(at, len(self.terms) - 1)] == shard.terms)
+            no[at[same]] = same
+        return no
 
     def occurrences(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item row, start position, length) of every occurrence of every window in one document."""
+        no = self.numbers(shard)
+        absent = np.concatenate([np.zeros(1, np.int32), np.cumsum(no[self.term_of] < 0, dtype=np.int32)])
+        whole = np.flatnonzero(absent[self.start + self.length] == absent[self.start])
         found = [(np.zeros(0, np.int64),) * 3]
-        for n, (item, terms) in self.windows.items():
-            no = shard.lookup(terms.reshape(-1)).reshape(terms.shape)
-            ok = np.flatnonzero((no >= 0).all(axis=1))
-            if not len(ok):
-                continue
-            no, item = no[ok], item[ok]
-            by_rarity = np.argsort(shard.counts[no], axis=1, kind="stable")
-            rarest = np.take_along_axis(no, by_rarity[:, :1], axis=1)[:, 0]
-            many = shard.counts[rarest]
-            win = np.repeat(np.arange(len(no)), many)
-            inside = np.arange(len(win)) - np.repeat(np.cumsum(many) - many, many)
-            start = shard.positions[shard.at[rarest][win] + inside] - by_rarity[win, 0]
+        for n in np.unique(self.length[whole]).tolist():
+            windows = whole[self.length[whole] == n]
+            for lo in range(0, len(windows), MOST_WINDOWS):
+                found += self._intersect(shard, no, self.start[windows[lo:lo + MOST_WINDOWS]].astype(np.int64), n)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _intersect(self, shard: Shard, no: np.ndarray, place: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of ``n`` words at ``place``, all of whose words the shard has: lists met from the rarest word on."""
+        terms = no[self.term_of[place[:, None] + np.arange(n)]].astype(np.int64)
+        by_rarity = np.argsort(shard.counts[terms], axis=1, kind="stable")
+        rarest = np.take_along_axis(terms, by_rarity[:, :1], axis=1)[:, 0]
+        many = shard.counts[rarest]
+        ends = np.cumsum(many)
+        lo = 0
+        while lo < len(place):  # so many windows that their rarest words have a bounded number of positions
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - many[lo] + MOST_POSITIONS, "right")))
+            m = many[lo:hi]
+            win = np.repeat(np.arange(lo, hi), m)
+            inside = np.arange(len(win)) - np.repeat(np.cumsum(m) - m, m)
+            start = shard.positions[shard.at[rarest[win]] + inside] - by_rarity[win, 0]
             for k in range(1, n):
                 offset = by_rarity[win, k]
-                keep = shard.holds(no[win, offset], start + offset)
+                keep = shard.holds(terms[win, offset], start + offset)
                 win, start = win[keep], start[keep]
             keep = (start >= 0) & (start + n <= shard.n)
             win, start = win[keep], start[keep]
             keep = shard.doc_of(start) == shard.doc_of(start + n - 1)
-            found.append((item[win[keep]], start[keep], np.full(int(keep.sum()), n)))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            yield np.searchsorted(self.first, place[win[keep]], "right") - 1, start[keep], np.full(int(keep.sum()), n)
+            lo = hi
 
 
 def _blocks(bench: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[Block]:
@@ -162,15 +181,18 @@ def _blocks(bench: DataFrame, id_col: str, text_col: str, window: int, block_byt
 
 # ---------------------------------------------------------------- searches
 
-def _over_shards(index: DataFrame, each: Callable[[Shard], list[tuple]], schema: str) -> DataFrame:
+def _over_shards(index: DataFrame, block: Block, each: Callable[[Shard, Block], list[tuple]], schema: str) -> DataFrame:
     arrow = arrow_schema(schema)
+    sent = index.sparkSession.sparkContext.broadcast(block)  # at most a block of benchmark text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                rows = each(Shard({f: column(b, f)[i].as_py() for f in b.schema.names}))
+                rows = each(Shard({f: column(b, f)[i].as_py() for f in b.schema.names}), sent.value)
                 if rows:
                     yield record_batch(rows, arrow)
+            del b
+        give_back()
 
     return index.mapInArrow(run, schema)
 
@@ -180,13 +202,13 @@ def phrase_hits(index: DataFrame, bench: DataFrame, window: int = WINDOW, id_col
     """One row per occurrence: doc_id, item_id, start (word number in the document), length."""
     out = None
     for block in _blocks(bench, id_col, text_col, window, block_bytes):
-        def each(shard: Shard, block: Block = block) -> list[tuple]:
+        def each(shard: Shard, block: Block) -> list[tuple]:
             item, start, length = block.occurrences(shard)
             doc = shard.doc_of(start)
             return [(shard.doc_ids[d], block.items[i], int(s - shard.first[d]), int(n))
                     for d, i, s, n in zip(doc, item, start, length, strict=True)]
 
-        part = _over_shards(index, each, MATCH_SCHEMA)
+        part = _over_shards(index, block, each, MATCH_SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -199,10 +221,11 @@ def proximity_hits(index: DataFrame, bench: DataFrame, span: int, id_col: str =
     """
     out = None
     for block in _blocks(bench, id_col, text_col, WINDOW, block_bytes):
-        def each(shard: Shard, block: Block = block) -> list[tuple]:
+        def each(shard: Shard, block: Block) -> list[tuple]:
             rows = []
-            for item, words in zip(block.items, block.words, strict=True):
-                no = shard.lookup(np.unique(words))
+            numbers = block.numbers(shard)
+            for i, item in enumerate(block.items):
+                no = numbers[np.unique(block.term_of[block.first[i]:block.first[i + 1]])]
                 if not len(no) or (no < 0).any():
                     continue
                 lists = sorted((shard.positions[shard.at[t]:shard.at[t + 1]] for t in no), key=len)
@@ -217,7 +240,7 @@ def proximity_hits(index: DataFrame, bench: DataFrame, span: int, id_col: str =
                         rows.append((shard.doc_ids[d], item, int(best[0] - lo), int(best[1])))
             return rows
 
-        part = _over_shards(index, each, MATCH_SCHEMA)
+        part = _over_shards(index, block, each, MATCH_SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -247,16 +270,14 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, share
     index = build_index(docs)
     blocks = list(_blocks(bench, "item_id", "text", window, block_bytes)) if _fits(bench, block_bytes) else None
     if blocks is not None:
-        block = blocks[0]
-
-        def each(shard: Shard) -> list[tuple]:
+        def each(shard: Shard, block: Block) -> list[tuple]:
             covered, items = _cover(shard, block)
             n = np.diff(shard.first)
             before = np.concatenate([[0], np.cumsum(covered)])
             hit = before[shard.first[1:]] - before[shard.first[:-1]]
             return [_verdict(shard.doc_ids[d], int(n[d]), int(hit[d]), items.get(d, ()), share) for d in range(len(n))]
 
-        return _over_shards(index, each, RESULT_SCHEMA)
+        return _over_shards(index, blocks[0], each, RESULT_SCHEMA)
     return _merge_blocks(index, bench, window, share, block_bytes)
 
 
@@ -299,12 +320,12 @@ def _merge_blocks(index: DataFrame, bench: DataFrame, window: int, share: int, b
     schema = "shard string, row int, doc_id bigint, n_words bigint, covered binary, items array<string>"
     part = None
     for block in _blocks(bench, "item_id", "text", window, block_bytes):
-        def each(shard: Shard, block: Block = block, all_rows: bool = part is None) -> list[tuple]:
+        def each(shard: Shard, block: Block, all_rows: bool = part is None) -> list[tuple]:
             covered, items = _cover(shard, block)
             return [(shard.name, d, shard.doc_ids[d], int(hi - lo), np.packbits(covered[lo:hi]).tobytes(), sorted(items.get(d, ()), key=str))
                     for d, (lo, hi) in enumerate(zip(shard.first[:-1], shard.first[1:], strict=True)) if all_rows or d in items]
 
-        one = stage(_over_shards(index, each, schema), "block-hits")
+        one = stage(_over_shards(index, block, each, schema), "block-hits")
         part = one if part is None else part.unionByName(one)
 
     def merged(frames):

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anthro.llm.common import arrow_schema, column, row_ranges, stage
+from anthro.llm.common import arrow_schema, column, give_back, row_ranges, stage
 from anthro.llm.textnum import Words, byte_table, distinct_words
 
 LEAST_DOCS = 3
@@ -104,7 +104,7 @@ def term_vectors(docs: DataFrame, least_docs: int = LEAST_DOCS, text_col: str =
                     held, rows, last = [], 0, 0
         if held:
             yield from _added_up(held).cast(arrow).to_batches(max_chunksize=20_000)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     counts = _texts(docs, text_col, lang_col, source_col).mapInArrow(run, _COUNTS).repartition("lang", "term")
     sums = counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
@@ -217,7 +217,7 @@ def _shared_terms(placed: DataFrame) -> DataFrame:
         if have:
             evaluate(sums, pa.Table.from_batches(kept))
         yield from sums.batches(arrow)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return placed.select("lang", "source", "n", "all", "place", "many").mapInArrow(run, _PAIRS)
 

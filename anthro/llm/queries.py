@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from anthro.llm import (bloom_lm, decontam, divergence, jaccard, langid, licenses, line_rules, mincut_html, oracle, packing, pii, simhash, spelling,
+from anthro.llm import (bloom_lm, common, decontam, divergence, jaccard, langid, licenses, line_rules, mincut_html, oracle, packing, pii, simhash, spelling,
                         toxicity)
-from anthro.llm.common import hash_share, read_table
+from anthro.llm.common import hash_share, small_batches
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return common.read_table(spark, sf_dir, name)
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

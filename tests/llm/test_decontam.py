@@ -83,3 +83,51 @@ def test_whole_table_against_brute_force(spark):
     want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
     assert rows(D.contamination(docs, bench)) == want
     assert any(x[5] for x in want)
+
+
+def test_benchmark_of_thirty_megabytes_stays_small_in_a_worker():
+    """Windows are places in the word array; what a task holds beside a shard, and makes for one, is bounded."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(200_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=3_000)) for _ in range(1_500)]
+    assert sum(map(len, texts)) > 30 << 20
+    shard_texts = [" ".join(rng.choices(vocabulary, k=20_000)) + " " + " ".join(texts[7].split()[100:130]), texts[1_499]]
+    tracemalloc.start()
+    block = D.Block(list(range(1_500)), texts, 13)
+    held = tracemalloc.get_traced_memory()[0]
+    w = D.Words(pa.array(shard_texts), D.ALNUM_TABLE)
+    order = w.hash.argsort(kind="stable")
+    terms, counts = D._runs(w.hash[order])
+    shard = D.Shard({"shard": "x", "doc_ids": [1, 2], "first": w.first.astype("<u4").tobytes(), "terms": terms.astype("<u8").tobytes(),
+                     "counts": counts.astype("<u4").tobytes(), "positions": order.astype("<u4").tobytes()})
+    tracemalloc.reset_peak()
+    item, start, length = block.occurrences(shard)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 200 << 20 and peak < 350 << 20
+    assert sorted(zip(item.tolist(), start.tolist(), strict=True)) == [(7, 20_000 + i) for i in range(18)] + [(1_499, 20_030 + i) for i in range(2_988)]
+    assert set(length.tolist()) == {13}
+
+
+def test_many_positions_in_parts(frames, monkeypatch):
+    monkeypatch.setattr(D, "MOST_WINDOWS", 2)
+    monkeypatch.setattr(D, "MOST_POSITIONS", 3)
+    import pyarrow as pa
+
+    def found():
+        block = D.Block([b[0] for b in BENCH], [b[1] or "" for b in BENCH], 13)
+        w = D.Words(pa.array([d[1] for d in DOCS]), D.ALNUM_TABLE)
+        order = w.hash.argsort(kind="stable")
+        terms, counts = D._runs(w.hash[order])
+        shard = D.Shard({"shard": "x", "doc_ids": [d[0] for d in DOCS], "first": w.first.astype("<u4").tobytes(), "terms": terms.astype("<u8").tobytes(),
+                         "counts": counts.astype("<u4").tobytes(), "positions": order.astype("<u4").tobytes()})
+        return sorted(zip(*[x.tolist() for x in block.occurrences(shard)], strict=True))
+
+    small = found()
+    monkeypatch.undo()
+    assert small and small == found()
