@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anthro.sources.grids import validate_grid
+from anthro.sources.grids import ONE_TASK_GRID_ROWS, typed_grid, validate_grid
 
 # Internal column names of the bracket table (never clash with user columns).
 _G, _B, _PT, _FROM, _TO, _SALT, _XB = ("__br_group", "__br_bucket", "__br_point",
@@ -38,8 +38,6 @@ _G, _B, _PT, _FROM, _TO, _SALT, _XB = ("__br_group", "__br_bucket", "__br_point"
 
 # Largest lookup table that is broadcast, by its proven size in bytes.
 DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
-# Grids up to this many rows are windowed in one task instead of a shuffle.
-SINGLE_TASK_GRID_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -133,6 +131,7 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
     if k < 1:
         raise ValueError("neighbour rank k must be >= 1")
     values = tuple(values)
+    grid = typed_grid(grid, axis, values)
     st = stats or validate_grid(grid, group, axis, values)
     n, n_groups, amin, amax = st["n"], st["n_groups"], st["min"], st["max"]
     span = amax - amin
@@ -148,7 +147,7 @@ def build_brackets(grid: DataFrame, group: str = "gender", axis: str = "age",
     # Expressions are written as SQL text (selectExpr): one driver-to-JVM
     # call per projection instead of one per Column node.
     g = grid.select(group, axis, *values)
-    if n <= SINGLE_TASK_GRID_ROWS:
+    if n <= ONE_TASK_GRID_ROWS:
         g = g.coalesce(1)      # one partition already satisfies the window's clustering
     shifted = [f"{_shift_sql(axis, 1, group, axis)} AS __nxt",
                f"row_number() OVER (PARTITION BY {_q(group)} ORDER BY {_q(axis)}) AS __rn"]

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from anthro.constants import DAYS_PER_MONTH
 from anthro.operators.bracket import (_FROM, _G, _PT, _TO, DEFAULT_MAX_BROADCAST_BYTES, build_brackets, in_piece,
                                       interpolate, refuse_clash, table_row_bytes)
-from anthro.sources.grids import validate_grid
+from anthro.sources.grids import typed_grid, validate_grid
 
 DAY = "__age_days"
 # Largest day table that is built at all; wider grids use the bracket lookup.
@@ -64,6 +64,7 @@ def build_day_table(grid: DataFrame, *, group: str = "gender", axis: str = "age"
                     stats: dict | None = None) -> DayTable:
     """Interpolated parameters for every whole day inside each group's grid."""
     values = tuple(values)
+    grid = typed_grid(grid, axis, values)
     st = stats or validate_grid(grid, group, axis, values)
     bound = day_table_bound(st, float(days_per_month))
     if bound > MAX_DAY_TABLE_ROWS:

@@ -9,7 +9,8 @@ from anthro.functions.dates import DAYS_PER_MONTH_KEY
 from anthro.functions.lms import is_valid_z, lms_zscore, strict_z_filter
 from anthro.operators.bracket import Brackets, bracket_lookup, build_brackets, interpolate
 from anthro.operators.day_table import DayTable, build_day_table, day_lookup, day_table_bound
-from anthro.sources.grids import validate_grid
+from anthro.operators.sorted_lookup import sorted_lookup
+from anthro.sources.grids import ONE_TASK_GRID_ROWS, typed_grid, validate_grid
 
 
 def lms_interpolate(cohort: DataFrame, grid_or_brackets, *, k: int = 1,
@@ -18,10 +19,19 @@ def lms_interpolate(cohort: DataFrame, grid_or_brackets, *, k: int = 1,
     """Cohort rows with their bracket and interpolated ``l``, ``m``, ``s``.
 
     ``grid_or_brackets`` is a grid ``(gender, age, l, m, s)`` or a
-    :class:`Brackets` built once and reused.
+    :class:`Brackets` built once and reused.  A grid of more than
+    ``ONE_TASK_GRID_ROWS`` rows goes through :func:`sorted_lookup`, unless
+    options of :func:`build_brackets` are given.
     """
-    br = grid_or_brackets if isinstance(grid_or_brackets, Brackets) else build_brackets(
-        grid_or_brackets, group, "age", ("l", "m", "s"), k=k, **bracket_opts)
+    if not isinstance(grid_or_brackets, Brackets):
+        grid = typed_grid(grid_or_brackets)
+        stats = bracket_opts.pop("stats", None) or validate_grid(grid, group)
+        if stats["n"] > ONE_TASK_GRID_ROWS and not bracket_opts:
+            looked = sorted_lookup(cohort, grid, group, "age", ("l", "m", "s"), k, input_axis=axis, how=how)
+            return interpolate(looked, axis, ("l", "m", "s"), lower="lower_age", upper="upper_age")
+        br = build_brackets(grid, group, "age", ("l", "m", "s"), k=k, stats=stats, **bracket_opts)
+    else:
+        br = grid_or_brackets
     looked = bracket_lookup(cohort, br, group=group, axis=axis, how=how)
     looked = looked.withColumnsRenamed({br.lower_col: "lower_age", br.upper_col: "upper_age"})
     return interpolate(looked, axis, ("l", "m", "s"), lower="lower_age", upper="upper_age")

@@ -285,6 +285,22 @@ def oracle_sql() -> dict[str, str]:
     q["cohort_multi_site"] = _with(*multi) + "\n" + cohort_out
     log_form = [_measurement_sql(), _person_sql(), _grid_sql(ZERO_L_AGES), _cohort_sql()]
     q["lms_zscore_log_form"] = _with(*log_form, _z_sql(1)) + f"\nSELECT {zcols} FROM with_z"
+    q["cohort_multi_site_bucketed"] = q["cohort_multi_site"]
+    q["bracket_lookup_sorted"] = q["bracket_lookup"]
+    same = " AND ".join(f"lo.{c} IS NOT DISTINCT FROM hi.{c}" for c in REJOIN_KEYS)
+    q["bracket_rejoin_nullsafe"] = (_with(*base, _halves_sql(1)) + f"\nSELECT {_cohort_select('lo.')}, lo.lower_age, hi.upper_age, lo.l_lo, hi.l_hi, lo.m_lo, hi.m_hi, "
+                                    f"lo.s_lo, hi.s_hi FROM lower_half lo JOIN upper_half hi ON {same}")
+    numbered = ", ".join(f"row_number() OVER (PARTITION BY person_id ORDER BY measurement_datetime {d}, measurement_id {d}) AS {n}" for d, n in (("ASC", "up"), ("DESC", "down")))
+    kth = "SELECT person_id, measurement_id, measurement_datetime, value_as_number, {} AS from_last FROM numbered WHERE {} = 2"
+    q["kth_measurement_per_person"] = (_with(_measurement_sql(hot_person=True), f"numbered AS (SELECT *, {numbered} FROM measurement WHERE measurement_datetime IS NOT NULL)")
+                                       + "\n" + kth.format("false", "up") + "\nUNION ALL\n" + kth.format("true", "down"))
+    site_grids = _grid_sql().rsplit("grid AS (", 1)[0] + f"""grid AS (
+  SELECT 'site_' || CAST(site_no AS VARCHAR) AS site_id, gender, CAST(age AS DOUBLE) AS age, CAST(l AS DOUBLE) AS l,
+         CAST(m AS DOUBLE) * (CAST(1 AS DOUBLE) + CAST({fx.SITE_MEDIAN_STEP} AS DOUBLE) * site_no) AS m, CAST(s AS DOUBLE) AS s
+  FROM grid_raw, (VALUES {", ".join(f"({i})" for i in range(fx.N_SITES))}) AS sites(site_no))"""
+    by_site = [c.replace("g.gender = c.gender", "g.gender = c.gender AND g.site_id = c.site_id") for c in (_z_sql(1),)]
+    q["zscore_site_grids"] = _with(_measurement_sql(), _person_sql(), site_grids, _cohort_sql(), *by_site) + "\n" + _records_select()
+    q["write_snapshot_roundtrip"] = q["bmi_zscore"]
     q["write_table_roundtrip"] = q["bmi_zscore"]
     q["bmi_zscore_bracket"] = q["bmi_zscore"]
     q["write_roundtrip"] = q["bmi_zscore"]

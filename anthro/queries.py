@@ -20,13 +20,19 @@ from anthro.functions.dates import age_in_months
 from anthro.operators.bracket import bracket_lookup, build_brackets
 from anthro.operators.cohort import measurement_cohort, select_measurements, select_persons
 from anthro.operators.day_table import build_day_table
+from anthro.operators.rejoin import rejoin_halves
+from anthro.operators.sorted_lookup import sorted_lookup
+from anthro.operators.topk import kth_per_group
 from anthro.operators.zscore import lms_interpolate, lms_parameters, with_zscore
 from anthro.oracle import BY_SITE, RECORDS_PARAMS, ROUND, ZERO_L_AGES
 from anthro.plans.zscore_job import bmi_zscore, run_zscore_job
 from anthro.session import scratch_path
-from anthro.sources.fixtures import fixture_tables, measurement_from_orders, person_from_customer, read_table
-from anthro.sources.grids import rule_grid
+from anthro.sources.fixtures import N_SITES, fixture_tables, measurement_from_orders, person_from_customer, read_table, site_grid
+from anthro.sources.grids import GRID_SCHEMA, rule_grid
 from anthro.sources.sinks import read_zscores, write_zscores
+from anthro.sources.snapshots import read_snapshot, write_snapshot
+from anthro.sources.tables import read_sites, save_bucketed
+
 
 def _rounded(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.round(c, ROUND) for c in cols})
@@ -135,6 +141,52 @@ def bracket_lookup_salted(spark, sf_dir):
     return _lookup(spark, sf_dir, k=1, max_broadcast_rows=0, salt=8)
 
 
+def bracket_lookup_sorted(spark, sf_dir):
+    """The lookup for grids of any size: a sorted union of cohort and grid, cut into ranges of the axis."""
+    c, g = _cohort(spark, sf_dir)
+    return sorted_lookup(c, g, "gender", "age", ("l", "m", "s"), input_axis="age_in_months")
+
+
+def bracket_rejoin_nullsafe(spark, sf_dir):
+    """Lower and upper halves joined again on all nine keys, NULLs equal."""
+    c, g = _cohort(spark, sf_dir)
+    br = build_brackets(g, "gender", "age", ("l", "m", "s"))
+    halves = [bracket_lookup(c, br, axis="age_in_months", how="left", sides=s) for s in ("lower", "upper")]
+    return rejoin_halves(*halves).select(*COHORT_COLUMNS, "lower_age", "upper_age", *[f"{v}_{e}" for v in ("l", "m", "s") for e in ("lo", "hi")])
+
+
+def kth_measurement_per_person(spark, sf_dir):
+    """Every person's second measurement from the first and from the last, where one person owns a third of them."""
+    m = measurement_from_orders(read_table(spark, sf_dir, "orders"), hot_person=True).where("measurement_datetime IS NOT NULL")
+    cols = ["person_id", "measurement_id", "measurement_datetime", "value_as_number"]
+    ends = [kth_per_group(m.select(*cols), ["person_id"], ["measurement_datetime", "measurement_id"], 2, descending=d).withColumn("from_last", F.lit(d))
+            for d in (False, True)]
+    return ends[0].unionByName(ends[1])
+
+
+def zscore_site_grids(spark, sf_dir):
+    """Every site's own grid, stored as one folder a site and read as one scan."""
+    m, p, g = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "site-grids")
+    folders = {f"site_{i}": f"{base}/{i}" for i in range(N_SITES)}
+    for i, folder in enumerate(folders.values()):
+        site_grid(g, i).coalesce(1).write.parquet(folder)
+    return _records(bmi_zscore(m, p, read_sites(spark, folders, "parquet", schema=GRID_SCHEMA)))
+
+
+def cohort_multi_site_bucketed(spark, sf_dir):
+    """The join of sites with equal person ids over tables bucketed on both keys."""
+    m = fixture_tables(spark, sf_dir)[0]
+    p = person_from_customer(read_table(spark, sf_dir, "customer"), by_site=True)
+    stored = []
+    for df, name in ((m, "measurement"), (p, "person")):
+        path = scratch_path(spark, f"bucketed-{name}")
+        table = f"bucketed_{name}_{path.rsplit('-', 1)[-1]}"
+        save_bucketed(df.repartition(8, "site_id", "person_id"), table, 8, path=path)
+        stored.append(spark.table(table))
+    return measurement_cohort(*stored)
+
+
 def q_lms_interpolate(spark, sf_dir):
     c, g = _cohort(spark, sf_dir)
     return lms_interpolate(c, g, k=1).select(*COHORT_COLUMNS, "lower_age", "upper_age", "l", "m", "s")
@@ -211,6 +263,15 @@ def write_roundtrip(spark, sf_dir):
     return _records(read_zscores(spark, path))
 
 
+def write_snapshot_roundtrip(spark, sf_dir):
+    """Write a snapshot of all sites, replace one site's records in a second, read the pointer's."""
+    m, p = fixture_tables(spark, sf_dir)
+    path = scratch_path(spark, "zscore-snapshots")
+    write_snapshot(bmi_zscore(m, p, _day_table(spark)), path)
+    write_snapshot(bmi_zscore(m, p, _day_table(spark), site=BY_SITE), path, site=BY_SITE)
+    return _records(read_snapshot(spark, path))
+
+
 def write_table_roundtrip(spark, sf_dir):
     """Write all sites to a table, run one site again into it, read the table back."""
     m, p = fixture_tables(spark, sf_dir)
@@ -245,6 +306,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bracket_lookup": q_bracket_lookup,
     "bracket_lookup_rank2": bracket_lookup_rank2,
     "bracket_lookup_salted": bracket_lookup_salted,
+    "bracket_lookup_sorted": bracket_lookup_sorted,
+    "bracket_rejoin_nullsafe": bracket_rejoin_nullsafe,
+    "kth_measurement_per_person": kth_measurement_per_person,
+    "zscore_site_grids": zscore_site_grids,
+    "cohort_multi_site_bucketed": cohort_multi_site_bucketed,
+    "write_snapshot_roundtrip": write_snapshot_roundtrip,
     "lms_interpolate": q_lms_interpolate,
     "lms_zscore": q_lms_zscore,
     "lms_zscore_log_form": lms_zscore_log_form,

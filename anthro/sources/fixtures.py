@@ -28,6 +28,7 @@ BIRTH_DAY_RANGE = 8030
 HOT_PERSON_ID = 2
 HOT_EVERY = 3
 SITE_BIRTH_STEP = 100
+SITE_MEDIAN_STEP = 0.01
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -86,6 +87,11 @@ def person_from_customer(customer: DataFrame, by_site: bool = False) -> DataFram
     )
 
 
+def site_grid(grid: DataFrame, site: int) -> DataFrame:
+    """The grid of one site: M larger by ``SITE_MEDIAN_STEP`` times the site's number."""
+    return grid.selectExpr("gender", "age", "l", f"m * (1.0D + {SITE_MEDIAN_STEP!r}D * {site}) AS m", "s")
+
+
 # Columns of the driver tables the fixtures use.  Declaring them skips the
 # schema-inference job on every read, and the scan reads only these.
 READ_SCHEMAS = {

@@ -35,8 +35,8 @@ RAW_GRID_SCHEMA = T.StructType([
 ])
 
 
-# A grid is checked, and its rows ordered, in one task per group; larger ones are refused.
-MAX_GRID_ROWS = 1_000_000
+# Up to so many rows a grid is checked in one task; beyond, and for its lookup, the work is spread.
+ONE_TASK_GRID_ROWS = 200_000
 
 # --- fixed values: the age axis of the grid the job is usually run with ------
 AXIS_START, AXIS_FIRST, AXIS_STEPS, AXIS_END = 24.0, 24.5, 216, (240.0, 240.5)
@@ -122,9 +122,21 @@ def rule_grid(spark: SparkSession, zero_l: tuple[float, float] | None = None) ->
 
 
 def label_sex(raw: DataFrame, gender: str) -> DataFrame:
-    """One stored sex table -> typed grid rows with a ``gender`` literal."""
+    """One stored sex table -> typed grid rows with a ``gender`` literal (and the ``site_id``, if it has one)."""
+    site = ["CAST(site_id AS STRING) AS site_id"] if "site_id" in raw.columns else []
     return raw.selectExpr(f"{_sql_str(gender)} AS gender",
-                          *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in ("age", "l", "m", "s")])
+                          *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in ("age", "l", "m", "s")], *site)
+
+
+def typed_grid(grid: DataFrame, axis: str = "age", values=("l", "m", "s")) -> DataFrame:
+    """``grid`` with its axis and values as doubles.
+
+    A grid read from text has strings, whose order is not that of numbers
+    ("100" before "24").  A text that is no number is an error (with ANSI casts,
+    Spark's default; without them it becomes NULL, which validation refuses).
+    """
+    double = {c: F.col("`" + c.replace("`", "``") + "`").cast("double") for c in (axis, *values) if grid.schema[c].dataType != T.DoubleType()}
+    return grid.withColumns(double) if double else grid
 
 
 def union_sexes(female: DataFrame, male: DataFrame) -> DataFrame:
@@ -138,7 +150,7 @@ def read_grid_csv(spark: SparkSession, path: str, gender: str | None = None) ->
     and cast to double (no type inference pass over the file)."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if gender is None:
-        return raw.select("gender", *[F.col(c).cast("double").alias(c) for c in ("age", "l", "m", "s")])
+        return raw.select("gender", *[F.col(c).cast("double").alias(c) for c in ("age", "l", "m", "s")], *(["site_id"] if "site_id" in raw.columns else []))
     return label_sex(raw, gender)
 
 
@@ -146,20 +158,21 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
                   values=("l", "m", "s")) -> dict:
     """Check a grid and return its axis statistics.
 
-    Raises :class:`GridError` on a NULL or NaN key/value, a duplicate
-    ``(group, axis)``, or more than ``MAX_GRID_ROWS`` rows.  A grid is a
-    lookup table, usually of hundreds of rows; the limit, applied while
-    reading, is what lets one task check it without a shuffle: rows are
-    ordered within each group, a duplicate is a row equal to its predecessor,
-    a group starts at row number 1.  Only one row of statistics comes back to
-    the driver.
+    Raises :class:`GridError` on a NULL or NaN key/value or a duplicate
+    ``(group, axis)``.  A grid is a lookup table, usually of hundreds of rows;
+    up to ``ONE_TASK_GRID_ROWS`` (a limit applied while reading) one task
+    checks it without a shuffle: rows are ordered within each group, a duplicate
+    is a row equal to its predecessor, a group starts at row number 1.  A
+    larger grid is checked by :func:`_validate_large`, spread over tasks.  Only
+    one row of statistics comes back to the driver.
     """
+    grid = typed_grid(grid, axis, values)
     q = {c: "`" + c.replace("`", "``") + "`" for c in (group, axis, *values)}
     g, a = q[group], q[axis]
     bad = " OR ".join([f"{q[c]} IS NULL" for c in (group, axis, *values)]
                       + [f"isnan({q[c]})" for c in (axis, *values)])
     over = f"OVER (PARTITION BY {g} ORDER BY {a})"
-    ordered = grid.limit(MAX_GRID_ROWS + 1).coalesce(1).selectExpr(
+    ordered = grid.limit(ONE_TASK_GRID_ROWS + 1).coalesce(1).selectExpr(
         *q.values(), f"lag({a}) {over} AS __prev", f"row_number() {over} AS __rn")
     st = ordered.selectExpr(
         "count(1) AS n",
@@ -170,14 +183,28 @@ def validate_grid(grid: DataFrame, group: str = "gender", axis: str = "age",
         "sum(CASE WHEN __rn = 1 THEN 1 ELSE 0 END) AS n_groups",
         f"sum(CASE WHEN {a} = __prev THEN 1 ELSE 0 END) AS n_dup",
     ).first()
+    if st["n"] > ONE_TASK_GRID_ROWS:
+        st = _validate_large(grid, q, group, axis, bad)
     n = int(st["n"])
     if n == 0:
         raise GridError("grid is empty")
-    if n > MAX_GRID_ROWS:
-        raise GridError(f"grid has more than {MAX_GRID_ROWS} rows")
     if st["n_bad"]:
         raise GridError(f"grid has {st['n_bad']} row(s) with a NULL or NaN field")
     if st["n_dup"]:
         raise GridError(f"grid has {st['n_dup']} duplicate ({group}, {axis}) key(s)")
     return {"n": n, "min": float(st["amin"]), "max": float(st["amax"]),
             "n_groups": int(st["n_groups"]), "label_bytes": int(st["label_bytes"] or 0)}
+
+
+def _validate_large(grid: DataFrame, q: dict[str, str], group: str, axis: str, bad: str):
+    """The same statistics in two phases: rows counted by key (partly before the shuffle), then by group, then over all.
+
+    No sort and no task with all rows; a key that repeats very often is one row from each task.
+    """
+    g, a = q[group], q[axis]
+    keys = grid.selectExpr(f"{g} AS __g", f"{a} AS __a", f"CASE WHEN {bad} THEN 1L ELSE 0L END AS __bad").groupBy("__g", "__a") \
+        .agg(F.count("*").alias("n"), F.sum("__bad").alias("bad"))
+    groups = keys.groupBy("__g").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.min("__a").alias("amin"), F.max("__a").alias("amax"),
+                                     F.sum(F.when(F.col("__a").isNotNull(), F.col("n") - 1)).alias("dup"))
+    return groups.agg(F.sum("n").alias("n"), F.sum("bad").alias("n_bad"), F.min("amin").alias("amin"), F.max("amax").alias("amax"),
+                      F.max(F.octet_length(F.col("__g").cast("string"))).alias("label_bytes"), F.count("*").alias("n_groups"), F.sum("dup").alias("n_dup")).first()

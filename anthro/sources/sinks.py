@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from anthro.constants import OUTPUT_COLUMNS
@@ -66,6 +67,31 @@ def _site_folder(spark: SparkSession, site: str) -> str:
     return f"site_id={escape(site)}"
 
 
+def _refuse_other_sites(site: str, found: list[str]) -> None:
+    if found:
+        raise ValueError(f"the rows are not all of site {site!r}: {', '.join(sorted(found)[:5])}")
+
+
+def _check_table(spark: SparkSession, table: str, fmt: str) -> None:
+    """An existing table must have the format asked for and be partitioned by site alone."""
+    provider = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name == "Provider"]
+    if provider and provider[0].lower() != fmt.lower():
+        raise ValueError(f"table {table} is stored as {provider[0]}, not {fmt}")
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts != ["site_id"]:
+        raise ValueError(f"table {table} is partitioned by {', '.join(parts) or 'nothing'}, not by site_id")
+
+
+def _session_with(spark: SparkSession, key: str, value: str) -> SparkSession:
+    """A session of the same catalog and settings but for one, so that other queries of ``spark`` never see it."""
+    aside = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if aside.conf.isModifiable(k):
+            aside.conf.set(k, v)
+    aside.conf.set(key, value)
+    return aside
+
+
 def _overwrite_path(df: DataFrame, path: str, fmt: str, max_records: int, site: str | None) -> None:
     spark, path = df.sparkSession, path.rstrip("/")
     new = f"{path}__new-{uuid.uuid4().hex}"  # beside the target: moves stay in one file system
@@ -76,6 +102,8 @@ def _overwrite_path(df: DataFrame, path: str, fmt: str, max_records: int, site:
             return
         folder = _site_folder(spark, site)
         fs, staged = _fs(spark, f"{new}/{folder}")
+        names = [x.getPath().getName() for x in fs.listStatus(_fs(spark, new)[1])]
+        _refuse_other_sites(site, [x for x in names if x.startswith("site_id=") and x != folder])
         if fs.exists(staged):
             _put(spark, f"{new}/{folder}", f"{path}/{folder}")
         else:
@@ -92,22 +120,26 @@ def _overwrite_table(df: DataFrame, table: str, fmt: str, max_records: int, site
     if not spark.catalog.tableExists(table):
         df.write.format(fmt).partitionBy("site_id").option("maxRecordsPerFile", max_records).saveAsTable(table)
         return
+    _check_table(spark, table, fmt)
     # Compute first, into scratch files; the table is touched only by a copy of finished rows.
     path = scratch_path(spark, "zscore-table")
-    df.write.parquet(path)
-    done = spark.read.schema(df.schema).parquet(path).select(*spark.table(table).columns)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
     try:
-        spark.conf.set(key, "static" if site is None else "dynamic")
-        if site is not None and done.isEmpty():
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (site_id = '{site.replace(chr(39), chr(39) * 2)}')")
-        else:
-            done.write.option("maxRecordsPerFile", max_records).insertInto(table, overwrite=True)
+        df.write.parquet(path)
+        done = spark.read.schema(df.schema).parquet(path).select(*spark.table(table).columns)
+        if site is not None:
+            other = done.where(~F.col("site_id").eqNullSafe(F.lit(site))).select("site_id").limit(5).collect()
+            _refuse_other_sites(site, [f"site_id={r.site_id}" for r in other])
+            if done.isEmpty():
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (site_id = '{site.replace(chr(39), chr(39) * 2)}')")
+                return
+        aside = _session_with(spark, "spark.sql.sources.partitionOverwriteMode", "static" if site is None else "dynamic")
+        full = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+        aside.read.schema(df.schema).parquet(path).select(*done.columns).write.option("maxRecordsPerFile", max_records).insertInto(full, overwrite=True)
+        spark.catalog.refreshTable(table)  # this session may have listed the replaced files
     finally:
-        spark.conf.set(key, before)
         fs, p = _fs(spark, path)
-        fs.delete(p, True)
+        if fs.exists(p):
+            fs.delete(p, True)
 
 
 def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None = None,
@@ -125,9 +157,9 @@ def write_zscores(df: DataFrame, path: str | None = None, *, table: str | None =
     beside its target and then moved into place, a table is filled by a copy of
     rows computed before, so a failing row or executor leaves the old data.
     Between the two moves of a path, or during a table's copy, readers may see
-    it incomplete.  Errors are raised, never swallowed.
+    it incomplete (:mod:`anthro.sources.snapshots` has no such moment).  Errors are raised, never swallowed.
 
-    ``site`` says that ``df`` holds one site: only that site's folder or table
+    ``site`` says that ``df`` holds one site (rows of another are refused): only that site's folder or table
     partition is replaced, and it ends empty when ``df`` has no rows.  A NULL or
     empty site id is stored as, and read back as, NULL.
     """

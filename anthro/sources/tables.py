@@ -7,6 +7,10 @@ into the scan by Catalyst.
 
 from __future__ import annotations
 
+import json
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +47,10 @@ def read_source(spark: SparkSession, source: str, fmt: str = "parquet",
     read without them runs in one task and is refused unless ``one_task``.
 
     ``schema`` types text formats (CSV, JSON), whose columns would else be
-    strings or guessed; other formats carry their own types.
+    strings or guessed; other formats carry their own types.  Columns that a
+    CSV file with a header, or the first line of a JSON file, has beyond
+    ``schema`` stay, as strings: ``site_id`` among them makes persons and grids
+    join within their site.
     """
     opts = dict(options or {})
     if fmt == "table":
@@ -59,43 +66,126 @@ def read_source(spark: SparkSession, source: str, fmt: str = "parquet",
         if fmt == "csv" and str(opts.get("header", "")).lower() == "true":
             # by name: a CSV file's columns may be in any order, or more than these
             raw = reader.load(source)
-            return raw.select(*[raw[f.name].cast(f.dataType).alias(f.name) for f in schema if f.name in raw.columns])
+            typed = [raw[f.name].cast(f.dataType).alias(f.name) for f in schema if f.name in raw.columns]
+            return raw.select(*typed, *[raw[c] for c in raw.columns if c not in schema.names])
+        if fmt == "json":
+            schema = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in _first_json_keys(spark, source) if c not in schema.names]])
         reader = reader.schema(schema)
     return reader.load(source)
 
 
+def _first_json_keys(spark: SparkSession, source: str) -> list[str]:
+    """Names in the first line of a file of JSON lines."""
+    for line in spark.read.text(source).limit(1).collect():
+        try:
+            first = json.loads(line.value)
+        except ValueError:
+            return []
+        return list(first) if isinstance(first, dict) else []
+    return []
+
+
+#: Formats whose files Spark reads by column name, so that one scan may hold files of several sites.
+BY_NAME = ("parquet", "orc", "json")
+
+
 def read_sites(spark: SparkSession, tables: dict[str, str], fmt: str = "table", options: dict | None = None,
                schema: T.StructType | None = None) -> DataFrame:
     """One table from a schema (or path) per site: ``{site_id: source}``.
 
     Each site's rows get its ``site_id`` (an existing column is replaced), so
     persons and grids read this way join within their site.
+
+    Files of a format that is read by name are one scan over all sites' folders; a
+    file's folder tells its site.  Their columns are merged: a column that a
+    site lacks is NULL there, and a type that differs is an error.  With
+    ``schema`` no file is opened for that.  Other sources become a union, built as a
+    balanced tree.
     """
     if not tables:
         raise ValueError("no site given")
-    out = None
-    for site, source in tables.items():
-        one = read_source(spark, source, fmt, options, schema).withColumn("site_id", F.lit(site))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
+    if fmt in BY_NAME and len(set(tables.values())) == len(tables):
+        return _scan_sites(spark, tables, fmt, dict(options or {}), schema)
+    parts = [read_source(spark, source, fmt, options, schema).withColumn("site_id", F.lit(site)) for site, source in tables.items()]
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1], allowMissingColumns=True) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
-def save_bucketed_by_person(df: DataFrame, table: str, buckets: int, *,
-                            mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """Store a table bucketed and sorted by ``person_id``.
+def _plain_uri(path: str) -> str:
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
-    When measurement and person are both stored this way with the same
-    bucket count, the person join of the job is a sort-merge join with no
-    exchange on either side -- the one shuffle of the job at scale is paid
-    once, at write time, instead of on every run.  Pick ``buckets`` so a
-    bucket of the larger table is a few hundred MB.
+
+def _scan_sites(spark: SparkSession, tables: dict[str, str], fmt: str, options: dict, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.format(fmt).options(**{"mergeSchema": "true", "recursiveFileLookup": "true", **options})
+    if schema is not None:
+        reader = reader.schema(schema)
+    # the folders are listed by a Spark job of one task each; a task may as well list fifty
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(min(int(before), max(8, len(tables) // 50))))
+        df = reader.load(list(tables.values()))
+    finally:
+        spark.conf.set(key, before)
+    hadoop = spark._jsc.hadoopConfiguration()
+    default = _plain_uri(spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(hadoop).toString()).rstrip("/")
+
+    def root(source: str) -> str:
+        if re.match(r"\w+:/", source):
+            return _plain_uri(source).rstrip("/")
+        if source.startswith("/"):
+            return (default + source).rstrip("/")
+        p = spark._jvm.org.apache.hadoop.fs.Path(source)  # relative to the file system's working folder
+        return _plain_uri(unquote(p.getFileSystem(hadoop).makeQualified(p).toUri().toString())).rstrip("/")
+
+    site_of = {root(source): site for site, source in tables.items()}
+    files = [_plain_uri(f) for f in df.inputFiles()]  # the listing that the scan holds anyway; names are URL-encoded
+    by_file = any(unquote(f) in site_of for f in files)        # a source is a file, not a folder
+    places: dict[str, str] = {}
+    for place in {f if by_file else f.rpartition("/")[0] for f in files}:
+        at = unquote(place)
+        while at and at not in site_of:
+            at = at.rpartition("/")[0]
+        if not at:
+            raise ValueError(f"{place} lies in no site's folder")
+        places[place] = site_of[at]
+    names = spark.createDataFrame(list(places.items()), "__place string, site_id string")
+    if len(places) <= BROADCAST_FOLDERS:
+        names = F.broadcast(names)
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/")
+    rows = df.select(*[c for c in df.columns if c != "site_id"], (file if by_file else F.regexp_replace(file, "/[^/]*$", "")).alias("__file"))
+    return rows.join(names, F.col("__file") == F.col("__place")).drop("__file", "__place")
+
+
+BROADCAST_FOLDERS = 200_000
+
+
+def save_bucketed(df: DataFrame, table: str, buckets: int, keys=("site_id", "person_id"), *, mode: str = "overwrite", fmt: str = "parquet",
+                  path: str | None = None) -> None:
+    """Store a table bucketed and sorted by all the keys of its join.
+
+    Two tables of one bucket count, bucketed by the keys they join on, need no
+    exchange; a layout on some of the keys alone does not do for a join on more
+    of them.  Use ``("site_id", "person_id")`` where persons are told apart by
+    site, ``("person_id",)`` where they are common to all sites.  Pick
+    ``buckets`` so a bucket of the larger table is a few hundred MB.
 
     Trade-off: without a shuffle there is no stage for AQE to split, and a
-    salt column does not force one (bucketing on ``person_id`` already
-    satisfies the salted join's clustering).  A person who owns a large
-    share of the rows then stays in one bucket's task.  Use bucketing for
-    tables without such a person; otherwise keep the shuffled join, where
-    AQE or ``hot_key_fraction`` splits the hot key.
+    salt column does not force one.  A person who owns a large share of the rows
+    then stays in one bucket's task.  Use bucketing for tables without such a
+    person; otherwise keep the shuffled join, where AQE or
+    ``hot_key_fraction`` splits the hot key.
+
+    ``path`` puts the files there instead of the warehouse.
     """
-    (df.write.mode(mode).format(fmt).bucketBy(int(buckets), "person_id")
-     .sortBy("person_id").saveAsTable(table))
+    writer = df.write.mode(mode).format(fmt).bucketBy(int(buckets), *keys).sortBy(*keys)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def save_bucketed_by_person(df: DataFrame, table: str, buckets: int, *,
+                            mode: str = "overwrite", fmt: str = "parquet") -> None:
+    """:func:`save_bucketed` for persons common to all sites."""
+    save_bucketed(df, table, buckets, ("person_id",), mode=mode, fmt=fmt)
