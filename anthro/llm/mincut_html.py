@@ -10,12 +10,15 @@ is the labelling.
 
 The classifier is trained on a bounded sample of pages: blocks inside
 article or main elements against blocks inside navigation, footers, asides
-and forms, starting from prior weights and held near them, so that pages
-without such elements are judged by text and class words.
+and forms, with and without knowing of these elements, starting from prior
+weights and held near them; pages without such elements are judged by what
+text and class words were learnt to tell.
 
 Defined results: null or empty html gives empty text; broken markup is read as
 browsers do, roughly (unknown end tags are ignored, open elements closed by
-their parents); null ids, repeated rows kept; extra columns are ignored; an
+their parents, a tag without its ``>`` is text); reading takes time linear in the
+page; very long pages are read whole; blocks of one text are separate blocks;
+null ids, repeated rows kept; extra columns are ignored; an
 empty table gives no rows.
 """
 
@@ -42,11 +45,13 @@ RIDGE = 0.2               # pull to the prior weights
 
 # Element and class words.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg math iframe object select option canvas audio video title".split())
+RAW = frozenset("script style textarea iframe title".split())      # text up to their end tag
+UNSEEN = frozenset("template svg select option datalist".split())   # elements whose text is not the page's
 BLOCK = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"br", "button", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 CLOSED_BY_OWN = {"li": "ul ol menu", "dd": "dl", "dt": "dl", "td": "tr table", "th": "tr table", "tr": "table", "option": "select"}
+WALLS = frozenset("article aside div section main td th li body nav footer header form blockquote button template svg select".split())
 BOILER_TAGS = frozenset("nav footer aside form menu button fieldset dialog".split())
 BOILER_WORDS = frozenset("ad ads advert advertisement adverts adv banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal "
                          "overlay newsletter subscribe subscription signup login register paywall sidebar side widget widgets menu menubar nav navbar navigation "
@@ -56,24 +61,29 @@ CONTENT_WORDS = frozenset("article articlebody content entry story post text bod
 
 FEATURES = ("bias", "in_content_element", "outside_of_one", "boiler_element", "page_header", "boiler_word", "content_word", "link_share", "length", "sentence",
             "list_item", "hidden", "copyright")
+ELEMENT_FEATURES = np.array([f in ("in_content_element", "outside_of_one", "boiler_element", "page_header", "hidden") for f in FEATURES])
 PRIOR = np.array([-0.8, 3.0, -3.0, -6.0, -4.0, -5.0, 1.0, -4.0, 2.0, 1.0, -0.3, -6.0, -3.0])
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>?""", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_MARK = re.compile(r"""[>"']""")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _ATTRS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "content", "boiler", "header", "boiler_word", "content_word", "hidden", "link", "item")
+    __slots__ = ("tag", "parent", "block", "depth", "content", "boiler", "header", "boiler_word", "content_word", "hidden", "link", "item", "unseen")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
+        self.block = self if parent is None or tag in BLOCK else parent.block
         if parent is None:
-            self.depth = self.content = self.boiler = self.header = self.boiler_word = self.content_word = self.hidden = self.link = self.item = 0
+            self.depth = self.content = self.boiler = self.header = self.boiler_word = self.content_word = self.hidden = self.link = self.item = self.unseen = 0
         else:
             self.depth = parent.depth + 1
             self.content, self.boiler, self.header, self.boiler_word = parent.content, parent.boiler, parent.header, parent.boiler_word
             self.content_word, self.hidden, self.link, self.item = parent.content_word, parent.hidden, parent.link, parent.item
+            self.unseen = parent.unseen or tag in UNSEEN
         if tag in ("article", "main"):
             self.content = 1
         elif tag in BOILER_TAGS:
@@ -108,14 +118,68 @@ class Block:
         self.text, self.linked, self.parent = text, linked, parent
 
 
+class _Scanner:
+    """Tags of a page, in one pass whose time is linear whatever the markup."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in (">", '"', "'")}
+        self.quotes = True
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag, -1 if none does; a ``>`` in quotes does not, unless none stands outside of them."""
+        if at > self.last[">"]:
+            return -1
+        i = at
+        while self.quotes:
+            m = _MARK.search(self.page, i)
+            if not m:
+                self.quotes = False  # quotes that never close as they should: from here on they do not count
+                break
+            c, i = m[0], m.end()
+            if c == ">":
+                return m.start()
+            if i <= self.last[c]:
+                i = self.page.find(c, i) + 1
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str | None, bool, str] | None:
+        """(start, end, name, whether an end tag, attributes) of the next tag; the name is None for comments and the like."""
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            m = _NAME.match(page, start)
+            if m:
+                end = self.tag_end(m.end())
+                if end < 0:
+                    return None
+                return start, end + 1, m[2].lower(), bool(m[1]), page[m.end():end]
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, (end + 3 if end >= 0 else len(page)), None, False, ""
+            if page[start + 1:start + 2] in ("!", "?", "/"):
+                end = page.find(">", start)
+                return start, (end + 1 if end >= 0 else len(page)), None, False, ""
+            at = start + 1
+
+
 def read_blocks(page: str | None) -> list[Block]:
-    """Blocks of visible text in page order."""
+    """Blocks of visible text in page order.
+
+    An element of ``RAW`` without an end tag is empty (a script or style runs to the end of the page), and so is
+    one of ``UNSEEN``; with one it ends there or with its parent.
+    """
     out: list[Block] = []
     if not page:
         return out
+    scanner = _Scanner(page)
     node = _Element("", "", None)
+    opened: dict[str, int] = {}  # how many elements of each name are open
+    last_end: dict[str, int] = {}
     parts: list[str] = []
-    links = at = 0
+    links = at = pos = 0
     home = node
 
     def flush() -> None:
@@ -127,62 +191,79 @@ def read_blocks(page: str | None) -> list[Block]:
             parts.clear()
         links = 0
 
-    pos = 0
+    def leave(to: _Element) -> None:
+        """Close the open elements down to ``to``, which stays open."""
+        nonlocal node
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+
+    def close(tag: str, walls: str) -> None:
+        """End the nearest open ``tag``, unless a container stands between."""
+        if not opened.get(tag):
+            return
+        stop = walls.split() or WALLS
+        up = node
+        while up is not None and up.tag not in stop:
+            if up.tag == tag:
+                leave(up.parent)
+                return
+            up = up.parent
+
     while True:
-        m = _TAG.search(page, pos)
-        stop = m.start() if m else len(page)
-        if stop > at:
-            piece = page[at:stop]
+        found = scanner.next(pos)
+        stop = found[0] if found else len(page)
+        if stop > at and not node.unseen:
             if not parts:
-                home = node
-                while home.parent is not None and home.tag not in BLOCK:
-                    home = home.parent
-            parts.append(piece)
+                home = node.block
+            parts.append(page[at:stop])
             if node.link:
-                links += len(piece)
-        if not m:
+                links += stop - at
+        if not found:
             break
-        at = pos = m.end()
-        tag = m[2]
+        _, pos, tag, ends, attrs = found
+        at = pos
         if tag is None:
             continue
-        tag = tag.lower()
-        if tag in RAW and not m[1]:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-                at = pos = end.end() if end else (len(page) if tag != "title" else pos)
+        empty = attrs.endswith("/")
+        if tag in RAW and not ends:
+            if not empty:
+                end = _RAW_END[tag].search(page, pos) if last_end.get(tag, pos) >= pos else None
+                if end:
+                    at = pos = end.end()
+                else:
+                    last_end[tag] = -1  # searched once
+                    if tag in ("script", "style"):
+                        at = pos = len(page)
             continue
         if tag in BLOCK:
             flush()
-        if m[1]:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
-        elif tag not in VOID:
-            if tag in CLOSES_P:
-                node = _close(node, "p", "")
-            if tag in CLOSED_BY_OWN:
-                node = _close(node, tag, CLOSED_BY_OWN[tag])
-            node = _Element(tag, m[3], node)
-            if m[3].endswith("/") and tag not in BLOCK:
-                node = node.parent
+        if ends:
+            if opened.get(tag):
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                leave(up.parent)
+            continue
+        if tag in VOID:
+            continue
+        if tag in CLOSES_P:
+            close("p", "")
+        if tag in CLOSED_BY_OWN:
+            close(tag, CLOSED_BY_OWN[tag])
+        if empty and tag not in BLOCK:
+            continue
+        if tag in UNSEEN:
+            if tag not in last_end:
+                last_end[tag] = max(page.rfind(f"</{tag}"), page.rfind(f"</{tag.upper()}"))
+            if last_end[tag] < pos:
+                continue
+        node = _Element(tag, attrs, node)
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
     return out
 
 
-def _close(node: _Element, tag: str, inside: str) -> _Element:
-    """The parent of the nearest open ``tag``, unless a container stands between."""
-    walls = inside.split() or ["article", "aside", "div", "section", "main", "td", "th", "li", "body", "nav", "footer", "header", "form", "blockquote", "button"]
-    up = node
-    while up is not None and up.tag not in walls:
-        if up.tag == tag:
-            return up.parent
-        up = up.parent
-    return node
-
-
 def features(blocks: list[Block]) -> np.ndarray:
     x = np.zeros((len(blocks), len(FEATURES)))
     any_content = any(b.parent.content for b in blocks)
@@ -317,19 +398,32 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 
 # ---------------------------------------------------------------- operator
 
-def train(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, steps: int = 200) -> np.ndarray:
-    """Weights from blocks whose elements tell what they are, in at most ``max_pages`` pages of
-    at most ``MAX_PAGE_CHARS`` characters, chosen by hash."""
-    html = F.col(html_col).cast("string")
-    sample = pages.select(html.alias("html")).where(F.length("html") <= MAX_PAGE_CHARS).orderBy(F.xxhash64("html"), "html").limit(max_pages).collect()
+def sample_pages(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES) -> list[str]:
+    """At most ``max_pages`` distinct pages of at most ``MAX_PAGE_CHARS`` characters, chosen by hash over the whole table.
+
+    A threshold on the hash leaves about twice as many before they are ordered, so tasks send no more than that.
+    """
+    html = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html") <= MAX_PAGE_CHARS)
+    n = html.count()
+    share = min(1.0, 2 * max_pages / n) if n else 1.0
+    few = html.withColumn("h", F.xxhash64("html")).where(F.col("h") <= F.lit(min(2 ** 63 - 1, int(-2 ** 63 + share * 2 ** 64)))).dropDuplicates(["h", "html"])
+    return [r.html for r in few.orderBy("h", "html").limit(max_pages).collect()]
+
+
+def fit(pages: list[str], steps: int = 200) -> np.ndarray:
+    """Weights from the blocks of pages whose elements tell what they are.
+
+    Each block counts twice: as it is, and with the element features blank, so that what is learnt of
+    text and class words comes from labels that it did not make, and holds for pages without such elements.
+    """
     xs, ys = [], []
-    for r in sample:
-        blocks = read_blocks(r.html)
+    for page in pages:
+        blocks = read_blocks(page)
         for b, x in zip(blocks, features(blocks) if blocks else (), strict=True):
-            bad = b.parent.boiler or b.parent.header or b.parent.hidden or b.parent.boiler_word
+            bad = b.parent.boiler or b.parent.header or b.parent.hidden
             if bad or b.parent.content:
-                xs.append(x)
-                ys.append(0.0 if bad else 1.0)
+                xs += [x, np.where(ELEMENT_FEATURES, 0.0, x)]
+                ys += [0.0 if bad else 1.0] * 2
     w = PRIOR.copy()
     if not xs:
         return w
@@ -341,6 +435,11 @@ def train(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES,
     return w
 
 
+def train(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, steps: int = 200) -> np.ndarray:
+    """:func:`fit` on a bounded sample of the table."""
+    return fit(sample_pages(pages, html_col, max_pages), steps)
+
+
 def extract(pages: DataFrame, weights: np.ndarray, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text) of every page."""
     out = "page_id bigint, url string, text string"

@@ -76,3 +76,78 @@ def test_cases(spark):
     assert H.extract(df.limit(0), H.train(df.limit(0))).count() == 0
     labels = H.block_labels(df, H.PRIOR).collect()
     assert {r.text for r in labels if r.content and r.page_id == 1} >= {"The title", "Last words."}
+
+
+# ------------------------------------------------------------ hostile and broken markup
+
+@pytest.mark.parametrize("page", ["<a " * 100_000, "<a '" * 50_000 + ">", '<a ">" "" ' * 40_000, "</b>" * 100_000, "<div>" * 30_000 + "</span>" * 60_000 + "x", "<b>" * 30_000 + "x<br>" * 30_000,
+                                  "<b>" * 30_000 + "<p></p>" * 30_000, "<!--" * 50_000, "<textarea>" * 60_000, "<svg>" * 60_000, "<" * 200_000, "<script " * 60_000])
+def test_reading_takes_linear_time(page):
+    import time
+
+    start = time.process_time()
+    H.read_blocks(page)
+    assert time.process_time() - start < 1.5
+
+
+@pytest.mark.parametrize("tag", ["video src='a'", "select", "svg", "math", "object", "noscript", "canvas", "audio", "template", "textarea", "iframe", "title", "option"])
+def test_an_unclosed_element_does_not_take_the_article(tag):
+    page = f"<body><article><p>One sentence that stands before it, long enough.</p><{tag}><p>Another sentence that follows after it, as long.</p></article></body>"
+    assert H.main_text(page, H.PRIOR) == "One sentence that stands before it, long enough. Another sentence that follows after it, as long."
+
+
+def test_text_inside_elements():
+    page = ("<article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is shown here. <noscript>Seen without scripts.</noscript> "
+            "<svg><text>icon</text></svg><select><option>choice</select><template><p>stamp</p></template>End of the line, at last.</p></article>")
+    assert H.main_text(page, H.PRIOR) == "The sum a+b is shown here. Seen without scripts. End of the line, at last."
+
+
+# ------------------------------------------------------------ pages without article or main
+
+SENTENCES = ["The river rose in the night and reached the lower gardens before dawn.", "Nobody in the village remembered a flood like it, the mayor said on Monday.",
+             "Engineers had warned for years that the old wall would not hold.", "Two bridges were closed, and the school opened its hall to families.",
+             "By the weekend the water had gone, leaving sand in every cellar.", "Repairs are expected to take until spring, at a cost of three million.",
+             "A second wall, planned since 2011, was never built.", "Volunteers came from the next valley with pumps and bread."]
+
+
+def page_without_article(k):
+    """(html, main text): layouts of plain elements, as older sites write them."""
+    rng = random.Random(k)
+    paragraphs = [" ".join(rng.sample(SENTENCES, rng.randrange(2, 5))) for _ in range(rng.randrange(3, 7))]
+    head = f"High water in the valley, part {k}"
+    nav = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in rng.sample(["Home", "News", "Sport", "Weather", "About", "Contact"], 5))
+    menu = rng.choice([f"<nav><ul>{nav}</ul></nav>", f'<div class="topnav"><ul>{nav}</ul></div>', f'<div id="menu"><ul>{nav}</ul></div>', f"<ul>{nav}</ul>"])
+    side = rng.choice(['<div class="sidebar"><h3>Most read</h3><ul><li><a href="1">Goats on the roof</a></li><li><a href="2">New bus line</a></li></ul></div>',
+                       "<aside><h3>Also of interest</h3><a href='x'>Ten walks by the lake</a></aside>", '<div class="widget"><p><a href="y">Buy tickets</a> now</p></div>'])
+    foot = rng.choice(["<footer>© 2024 The Valley Paper. All rights reserved.</footer>", '<div class="footer"><p>© 2024 The Valley Paper</p><a href="t">Terms</a></div>'])
+    notice = rng.choice(["", '<div class="cookie-banner"><p>We use cookies to make this site work. Please accept them.</p></div>', '<div id="newsletter"><form>Your mail <input></form></div>'])
+    said = rng.choice(["", '<div class="comments"><p>I was there and it was worse than you write, believe me.</p></div>'])
+    open_, end = rng.choice([('<div class="story">', "</div>"), ("<div>", "</div>"), ('<div id="content"><div class="post">', "</div></div>"), ("<table><tr><td>", "</td></tr></table>")])
+    body = "".join(f"<p>{x}</p>" for x in paragraphs)
+    return f"<html><head><title>t</title></head><body>{notice}{menu}{open_}<h1>{head}</h1>{body}{end}{said}{side}{foot}</body></html>", " ".join([head, *paragraphs])
+
+
+def test_pages_without_article(spark):
+    sample = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(300).collect()]
+    for weights in (H.PRIOR, H.fit(sample)):
+        wrong = [k for k in range(20) if H.main_text(page_without_article(k)[0], weights) != page_without_article(k)[1]]
+        assert not wrong
+
+
+def test_the_cut_decides():
+    """A short line that the classifier alone would drop stays with the text around it."""
+    long = " ".join(SENTENCES[:2])
+    page = f"<div><p>{long}</p><p>II</p><p>{long}</p></div>"
+    blocks = H.read_blocks(page)
+    odds = H.features(blocks) @ H.PRIOR
+    assert odds[1] < 0 < min(odds[0], odds[2])
+    assert H.min_cut(odds.tolist(), H.smoothness(blocks)) == [True, True, True]
+    assert H.main_text(page, H.PRIOR) == f"{long} II {long}"
+
+
+def test_sample_is_bounded_and_distinct(spark):
+    rows = [(i, "u", PAGE) for i in range(300)] + [(1000 + i, "u", f"<p>page {i}</p>") for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = H.sample_pages(df, max_pages=100)
+    assert len(got) == len(set(got)) == 100
+    assert len(H.sample_pages(df, max_pages=5000)) == 3001
