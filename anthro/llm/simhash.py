@@ -6,10 +6,11 @@ with its weight; a fingerprint bit is set where the votes for it have more than
 half the weight.  Votes are counted two to a 64-bit sum (32 bits each), so a
 text's fingerprint is one pass of 64 sums.
 
-``near_pairs`` finds all pairs within a radius r: with r + 1 blocks of bits, two
-such fingerprints are equal in one block at least, so one table for each block,
-keyed by the fingerprint permuted to have that block first, brings them
-together.
+``near_search`` finds all fingerprints within a radius r of some: with r + 1 blocks
+of bits, two such fingerprints are equal in one block at least, so one table for
+each block, keyed by the fingerprint permuted to have that block first, brings them
+together; at the radius of the report, 3, a key has 32 bits.  Equal fingerprints
+are one row of the tables.
 
 ``with_next`` pairs each document with the next one in descending id order
 without a global sort: ids are cut into buckets at quantiles, each bucket gets a
@@ -28,8 +29,12 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from anthro.llm.common import stage
+
 BITS = 128
 LANES = 32
+RADIUS = 3
+ASKED = 50                # ids that this divides are searched for
 BUCKET_BYTES = 4 << 20
 MOST_BUCKETS = 1 << 16
 _MASK = 0x0000000100000001
@@ -85,24 +90,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 # ---------------------------------------------------------------- search
 
+def _blocks(f1: Column, f2: Column, radius: int) -> Column:
+    """Array of (table, block): the fingerprint cut into ``radius`` + 1 runs of bits, one of which two fingerprints in the radius share."""
+    if not 0 <= radius < BITS:
+        raise ValueError("radius must be from 0 to 127")
+    bits = F.concat(F.lpad(F.conv(F.hex(f1), 16, 2), 64, "0"), F.lpad(F.conv(F.hex(f2), 16, 2), 64, "0"))
+    cut = [BITS * k // (radius + 1) for k in range(radius + 2)]
+    return F.array(*[F.struct(F.lit(k).alias("table"), F.substring(bits, cut[k] + 1, cut[k + 1] - cut[k]).alias("block")) for k in range(radius + 1)])
+
+
+def _apart(a1: str, a2: str, b1: str, b2: str) -> Column:
+    return F.bit_count(F.col(a1).bitwiseXOR(F.col(b1))) + F.bit_count(F.col(a2).bitwiseXOR(F.col(b2)))
+
+
+def near_search(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(q1, q2, f1, f2, distance, copies): for each distinct query fingerprint all distinct ones of ``prints`` at most ``radius`` bits
+    apart, and how many rows have them.  Both have columns f1, f2; null ones match nothing."""
+    each = prints.select("f1", "f2").where("f1 is not null and f2 is not null").groupBy("f1", "f2").agg(F.count("*").alias("copies"))
+    asked = queries.select(F.col("f1").alias("q1"), F.col("f2").alias("q2")).where("q1 is not null and q2 is not null").distinct()
+    tables = each.withColumn("_t", F.explode(_blocks(F.col("f1"), F.col("f2"), radius))).select("f1", "f2", "copies", "_t.table", "_t.block")
+    keys = asked.withColumn("_t", F.explode(_blocks(F.col("q1"), F.col("q2"), radius))).select("q1", "q2", "_t.table", "_t.block")
+    apart = _apart("q1", "q2", "f1", "f2")
+    return keys.join(tables, ["table", "block"]).where(apart <= radius).select("q1", "q2", "f1", "f2", apart.alias("distance"), "copies").distinct()
+
+
 def near_pairs(prints: DataFrame, radius: int) -> DataFrame:
     """Pairs (a1, a2, b1, b2, distance) of distinct fingerprints (f1, f2) at most ``radius`` bits apart.
 
     Equal fingerprints are one; a caller joins the pairs back to its rows by (f1, f2).
     """
-    if not 0 <= radius < BITS:
-        raise ValueError("radius must be from 0 to 127")
-    one = prints.select("f1", "f2").where("f1 is not null and f2 is not null").distinct()
-    bits = F.concat(F.lpad(F.conv(F.hex("f1"), 16, 2), 64, "0"), F.lpad(F.conv(F.hex("f2"), 16, 2), 64, "0"))
-    cut = [BITS * k // (radius + 1) for k in range(radius + 2)]
-    tables = F.array(*[F.struct(F.lit(k).alias("table"), F.substring(bits, cut[k] + 1, cut[k + 1] - cut[k]).alias("block")) for k in range(radius + 1)])
-    keyed = one.withColumn("_t", F.explode(tables)).select("f1", "f2", "_t.table", "_t.block")
-    x, y = keyed.alias("x"), keyed.alias("y")
-    apart = F.bit_count(F.col("x.f1").bitwiseXOR(F.col("y.f1"))) + F.bit_count(F.col("x.f2").bitwiseXOR(F.col("y.f2")))
-    ordered = (F.col("x.f1") < F.col("y.f1")) | ((F.col("x.f1") == F.col("y.f1")) & (F.col("x.f2") < F.col("y.f2")))
-    return (x.join(y, (F.col("x.table") == F.col("y.table")) & (F.col("x.block") == F.col("y.block")) & ordered & (apart <= radius))
-            .select(F.col("x.f1").alias("a1"), F.col("x.f2").alias("a2"), F.col("y.f1").alias("b1"), F.col("y.f2").alias("b2"), apart.alias("distance"))
-            .distinct())
+    found = near_search(prints, prints, radius).where("q1 < f1 or q1 = f1 and q2 < f2")
+    return found.select(F.col("q1").alias("a1"), F.col("q2").alias("a2"), F.col("f1").alias("b1"), F.col("f2").alias("b2"), "distance")
 
 
 # ---------------------------------------------------------------- next document
@@ -148,8 +166,13 @@ def edited(text: Column, after: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - cut), F.substring(F.coalesce(after, F.lit("")), F.lit(1), cut))
 
 
-def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likeness; see the module."""
+def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, radius: int = RADIUS,
+                       asked: int = ASKED) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness; see the module.
+
+    ``n_near``: for ids that ``asked`` divides, how many other documents have a fingerprint
+    at most ``radius`` bits apart, by block tables over all documents; null for the others.
+    """
     rows = with_next(docs, id_col, text_col, bucket_bytes).withColumn("_edited", edited(F.col("text"), F.col("next_text")))
     digest = F.sha2(F.col("_edited").cast("binary"), 256)
     parts = [F.conv(F.substring(digest, 1 + 16 * k, 16), 16, -10).cast("long").alias(f"_s{k}") for k in range(4)]
@@ -166,7 +189,12 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     inside = Window.partitionBy("bucket").orderBy("place")
     wide = wide.withColumns({f"n{c}": F.lead(f"f{c}").over(inside) for c in ("_1", "_2")}).where("guard = 0")
     c = F.col
-    return wide.select("doc_id", "n_chars", F.lower(F.concat(*[F.lpad(F.hex(f"_s{k}"), 16, "0") for k in range(4)])).alias("edited_sha256"),
-                       as_text(c("f_1"), c("f_2")).alias("fingerprint"), as_text(c("e_1"), c("e_2")).alias("edited_fingerprint"),
-                       likeness(c("f_1"), c("f_2"), c("e_1"), c("e_2")).alias("near_edited"),
-                       likeness(c("f_1"), c("f_2"), c("n_1"), c("n_2")).alias("near_next"))
+    out = stage(wide.select("doc_id", "n_chars", F.lower(F.concat(*[F.lpad(F.hex(f"_s{k}"), 16, "0") for k in range(4)])).alias("edited_sha256"),
+                            as_text(c("f_1"), c("f_2")).alias("fingerprint"), as_text(c("e_1"), c("e_2")).alias("edited_fingerprint"),
+                            likeness(c("f_1"), c("f_2"), c("e_1"), c("e_2")).alias("near_edited"),
+                            likeness(c("f_1"), c("f_2"), c("n_1"), c("n_2")).alias("near_next"), c("f_1").alias("f1"), c("f_2").alias("f2")), "fingerprints")
+    is_asked = F.coalesce(F.pmod("doc_id", F.lit(asked)) == 0, F.lit(False))
+    queries = out.where(is_asked)
+    near = near_search(out, queries, radius).groupBy("q1", "q2").agg((F.sum("copies") - 1).alias("n_near"))
+    answered = queries.join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2"))).drop("q1", "q2")
+    return answered.unionByName(out.where(~is_asked).withColumn("n_near", F.lit(None).cast("long"))).drop("f1", "f2")
