@@ -8,8 +8,9 @@ to the language with more training texts, then by name.
 
 Training reads a bounded sample: about ``max_docs`` texts of each language,
 chosen by a hash of the id.  The model holds at most ``max_units`` words and as
-many n-grams of each length (fewer with many languages), so what is sent to the
-workers is bounded whatever the input.
+many n-grams of each length (fewer with many languages), the most frequent of every
+language in equal shares, so what is sent to the workers is bounded whatever the
+input.  Words are runs of letters and marks, in training and in use.
 
 Defined results: null text or text without a letter is ``und`` with score 0,
 as is every text when nothing could be learned; rows with null id are never
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from anthro.llm.common import arrow_schema, column, row_ranges, stage
@@ -37,7 +38,8 @@ PENALTY = 7.0              # minus log10 of a unit that a language lacks
 CACHED_WORDS = 200_000
 UNKNOWN = "und"
 LETTERS = byte_table({b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122)})
-_WORD = r"[\p{L}\p{M}]+"
+_WORD = r"[\p{L}\p{M}]+"     # of a training text;
+_BETWEEN = r"[^\p{L}\p{M}]+"  # what is not of a word becomes a blank before a text is judged, so both read the same words
 
 
 def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
@@ -173,12 +175,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
              .groupBy("lang", "unit").agg(F.count("*").alias("n")))
     counted = _unit_counts(words)
     totals = {(r["size"], r.lang): r.n for r in counted.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
-    row = counted.groupBy("size", "unit").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n"))).alias(f"n{k}") for k, x in enumerate(langs)],
-                                              F.sum("n").alias("all"))
-    row = stage(row, "lang-rows")
+    row = counted.groupBy("size", "unit").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n"))).alias(f"n{k}") for k, x in enumerate(langs)])
+
+    # every language keeps as many units, so that small ones do not lose theirs to the counts of large ones
+    order = Window.partitionBy("size", "lang").orderBy(F.desc("n"), "unit")
+    kept = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= units // len(langs)).select("size", "unit").distinct()
+    row = stage(row.join(kept, ["size", "unit"], "left_semi"), "kept-units")
 
     def top(size: int) -> tuple[np.ndarray, np.ndarray]:
-        best = row.where(F.col("size") == size).orderBy(F.desc("all"), "unit").limit(units).drop("size", "all").toArrow()  # units rows
+        best = row.where(F.col("size") == size).drop("size").toArrow()  # at most ``units`` rows
         if not best.num_rows:
             return none
         unit = np.asarray(best["unit"]).view(np.uint64)
@@ -209,6 +214,6 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             lang = [x if ok else UNKNOWN for x, ok in zip(lang, lettered, strict=True)]
             yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(lang), pa.array(np.where(lettered, score, 0.0))], schema=arrow)
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(F.col(text_col).cast("string")).alias("text"),
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.regexp_replace(F.lower(F.col(text_col).cast("string")), _BETWEEN, " ").alias("text"),
                       F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     return src.mapInArrow(run, out)

@@ -81,3 +81,21 @@ def test_held_out_accuracy(spark):
     held = [r for r in rows if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) >= 0.95
+
+
+def test_words_are_read_as_in_training(spark, model):
+    """Whatever is no letter or mark parts words, also beyond ASCII."""
+    plain = ["the cat and the dog", "der hund und die katze", "le chat et le chien"]
+    odd = ["\u201cthe\u201d\u00a0cat\u3002and\u2014the \u00abdog\u00bb", "der\u2003hund\u2026und\u2019die\uff0ckatze", "le\u00a0chat\u2009et\u00b7le\u3000chien!"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(spark.createDataFrame(list(enumerate(plain + odd)), "doc_id bigint, text string"), model).collect()}
+    assert [got[i] for i in range(3)] == [got[i + 3] for i in range(3)]
+
+
+def test_every_language_keeps_its_share(spark):
+    """A language of few texts keeps its words beside one with many."""
+    big = [(i, " ".join(f"{a}{b}{c}" for a in "abcdefgh" for b in "klmnopqr" for c in "stuv"), "big") for i in range(50)]
+    small = [(1000 + i, "xaxa yoyo zuzu wewe", "small") for i in range(2)]
+    m = L.train(spark.createDataFrame(big + small, "doc_id bigint, text string, lang string"), max_units=100)
+    assert len(m.hashes) == 50 + 4
+    got = L.identify(spark.createDataFrame([(1, "xaxa zuzu"), (2, "akt blu")], "doc_id bigint, text string"), m).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["small", "big"]
