@@ -17,7 +17,7 @@ QUERIES = sorted(E.oracle_sql())          # every registered query has one
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("orders", "customer"):
+    for t in ("orders", "customer", "documents"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     return c
 
