@@ -85,17 +85,57 @@ def test_random_edits(spark, seed, most):
     assert run(spark, docs, most_shared=most, sketch_bits=14) == brute(docs)
 
 
-def test_need_is_the_cheapest():
-    import numpy as np
-
-    for seed in range(30):
-        rng = np.random.default_rng(seed)
-        n = int(rng.integers(1, 60))
-        least = -(-90 * n // 100)
-        df = np.sort(rng.integers(0, 50, n)).astype(float)
-        size = {k: min(n, n - least + k) for k in range(1, min(J.MOST_SHARED, least) + 1)}
-        cost = {k: m + (1 + J.VERIFY_COST) * df[:m].sum() + J.VERIFY_COST * J.CHANCE * m * J.SAME ** (k - 1) for k, m in size.items()}
-        assert cost[J.choose_need(df, n, least)] == pytest.approx(min(cost.values()))
+def cheapest(lengths, n, percent=90):
+    """The need of least cost, from the lengths of a set's lists in prefix order."""
+    least = -(-percent * n // 100)
+    cost = {}
+    for k in range(1, min(J.MOST_SHARED, least) + 1):
+        m = min(n, n - least + k)
+        read = sum(x - 1 for x in lengths[:m])
+        cost[k] = m + read + J.VERIFY_COST * (read + J.CHANCE * m * J.SAME ** (k - 1))
+    return min(cost, key=lambda k: (cost[k], k))
+
+
+def test_need_is_the_cheapest(spark):
+    rng = random.Random(6)
+    rows, want = [], {}
+    for key in range(80):
+        n = rng.randrange(1, 60)
+        lengths = sorted(rng.choice([1, 1, 1, 2, 3, 50]) for _ in range(n))
+        most = min(n, n - -(-90 * n // 100) + J.MOST_SHARED)
+        # lists of one set are not stored
+        rows += [(key * 100 + i, key, n, i, x) for i, x in enumerate(lengths[:most]) if x > 1]
+        if any(x > 1 for x in lengths[:most]):
+            want[key] = cheapest(lengths, n)
+    df = spark.createDataFrame(rows, "token bigint, key bigint, n int, pos int, length bigint")
+    got = {r.key: r.need for r in J.choose_need(df, 90).select("key", "need").distinct().collect()}
+    assert got == want and len(set(want.values())) > 1
+
+
+def needs(spark, docs, sketch=None):
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    lists = J.posting_lists(J.prefixes(df, sketch or J.shingle_sets(df, 3, "doc_id", "text")[1], 3, 90, "text"), 90)
+    return {(r.key, r.need) for r in lists.select("key", "need").distinct().collect()}
+
+
+def test_need_does_not_change_with_unrelated_documents(spark):
+    """In one order of shingles, a thousand times as many unrelated ones change neither the lists of a document nor its choice."""
+    rng = random.Random(8)
+    hot = " ".join(f"h{i}" for i in range(30))
+    docs = [(i, f"{hot} " + " ".join(f"v{rng.randrange(4)}" for _ in range(rng.randrange(3, 40)))) for i in range(40)]
+    sketch = J.shingle_sets(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, "doc_id", "text")[1]
+    before = needs(spark, docs, sketch)
+    size = sum(len(t.split()) for _, t in docs)
+    more = [(1000 + i, " ".join(f"x{i}y{j}" for j in range(2_000))) for i in range(1000 * size // 2_000)]
+    assert needs(spark, docs + more, sketch) == before and len({n for _, n in before}) > 1
+
+
+def test_groups_beyond_broadcast(spark):
+    """Hot keys and groups by broadcast, the others by shuffle: the same rows."""
+    docs = [(i, "one text that many hold " + "x" * (i % 3)) for i in range(60)] + [(100 + i, f"{i // 2} alone with few words") for i in range(30)]
+    words = [f"w{i}" for i in range(60)]
+    docs += [(200 + i, " ".join([*words[:i], f"e{i}", *words[i + 1:]])) for i in range(0, 60, 2)] + [(300, " ".join(words)), (None, "null id"), (None, "null id")]
+    assert run(spark, docs, broadcast_keys=3) == brute(docs) == run(spark, docs)
 
 
 def test_components(spark):
@@ -129,13 +169,14 @@ def test_shingle_order_does_not_depend_on_place():
     import numpy as np
     import pyarrow as pa
 
-    from anthro.llm.jaccard import MOST_COUNT, Sketch
+    from anthro.llm.jaccard import Sketch
     from anthro.llm.textnum import SPACE_TABLE, Words, run_sums
 
     rng = np.random.default_rng(7)
-    counters = rng.integers(0, 2000, (3, 1 << 12)).astype(np.uint16)
-    counters[2, rng.random(1 << 12) < 0.3] = MOST_COUNT
-    sketch = Sketch(counters)
+    counters = rng.integers(0, 2000, (3, 1 << 12))
+    counters[2, rng.random(1 << 12) < 0.3] = 2 ** 40
+    sketch = Sketch(Sketch.log_counts(counters))
+    assert (abs(sketch._counts(sketch.logs[:2]) - counters[:2]) <= 1).all()
     text = " ".join(f"w{x}" for x in rng.zipf(1.3, 60_000) % 5000)
     words = Words(pa.array([text]), SPACE_TABLE)
     weight = sketch.weight(words.hash)
