@@ -344,6 +344,8 @@ def links(docs: DataFrame, sets: DataFrame, sketch: Sketch, shingle: int, percen
     tried = stage(hub_pairs(lists, percent), "hub-pairs")
     found = verify(tried, member_sets(docs, sets, tried, shingle, id_col, text_col), percent)
     roots = connected_components(found)
+    if roots.count() <= BROADCAST_KEYS:  # then the lists are not shuffled for it
+        roots = F.broadcast(roots)
     placed = lists.drop("is_hub").join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
     open_lists = stage(placed.join(mixed, "token", "left_semi"), "open-lists")
