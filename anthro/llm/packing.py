@@ -16,10 +16,8 @@ The stream is solved in blocks of ``block`` tokens; the last sequences of a
 block are solved again with the next one.  A task holds one block.  Sequences
 never span tasks, and a task's result depends on its own rows only.
 
-Tokenisation gives the ids of the byte-level BPE file exactly.  A blank that is
-followed by a solid character always starts a new pre-token, so texts are cut
-there and each piece's ids are kept in a bounded table; texts with other runs
-of white space, or with a special token, are encoded whole.
+Tokenisation gives the ids of the byte-level BPE file exactly; a text is encoded
+in one call.
 
 Defined results: null or empty text is the end id alone; null ids, repeated
 rows and extra columns are carried as they are or ignored; an empty table gives
@@ -29,7 +27,6 @@ no rows.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,8 +48,6 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 
 # Fixed value: the pre-token pattern of the byte-level BPE files.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_PIECES = 300_000
-CACHED_CHARS = 40
 
 
 # ---------------------------------------------------------------- tokens
@@ -64,20 +59,6 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class _Pieces(dict):
-    """Ids, as bytes, of a blank and the piece after it."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(" " + piece)
-        if len(self) < CACHED_PIECES and len(piece) <= CACHED_CHARS:
-            self[piece] = ids
-        return ids
-
-
 class ByteBpe:
     """Ids of a byte-level BPE file (``tokenizers`` JSON), as little-endian 32-bit bytes."""
 
@@ -90,21 +71,13 @@ class ByteBpe:
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self._bpe = tiktoken.Encoding(path, pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens=special)
-        self._odd = re.compile("|".join([r" (?:\s|\Z)", *map(re.escape, special)]))
-        self._pieces = _Pieces(self._whole)
         size = max([*ranks.values(), *special.values()]) + 1
         self.ends_sentence = np.zeros(size, bool)
         for token, i in ranks.items():
             self.ends_sentence[i] = b"\n" in token or token.rstrip(b"\"')]")[-1:] in (b".", b"!", b"?")
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self._bpe.encode(text, allowed_special="all"), "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
-        if self._odd.search(text):
-            return self._whole(text)
-        head, *rest = text.split(" ")
-        return (self._whole(head) if head else b"") + b"".join(map(self._pieces.__getitem__, rest))
+        return self._bpe.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=2)
