@@ -49,7 +49,8 @@ SEGMENT_BITS = 1 << 16       # of the filter; an n-gram's bits lie in one segmen
 BITS_PER_LEVEL = 10          # a quarter of the bits get set
 SENT_BYTES = 96 << 20        # of a filter that workers hold; a larger one is joined
 TASK_SEGMENTS = 512          # filled by one task
-BLOCK_SEGMENTS = 64          # of a stored filter, probed together
+BLOCK_SEGMENTS = 64          # of a stored filter, sent to be filled and probed together
+SENT_GRAMS = 1 << 20         # counted n-grams grouped by block before they are sent
 HEAD_WORDS = 500_000
 END = np.uint64(0x8F1BBCDCBFA53E0B)   # stands for the end token among word hashes
 CHUNK = 1 << 21              # tokens counted together before they are sent
@@ -205,7 +206,7 @@ def filter_table(counts: DataFrame, max_bytes: int | None = None) -> tuple[DataF
         flags = np.zeros((0, SEGMENT_BITS), np.uint8)      # their bits, a byte each
         used = 0
         for b in batches:
-            gram, level = np.asarray(column(b, "gram")).view(np.uint64), level_of(np.asarray(column(b, "n")))
+            gram, level = (np.frombuffer(b"".join(column(b, c).to_pylist()), t) for c, t in (("grams", np.uint64), ("levels", np.uint8)))
             segment = Filter.segment(gram, segments)
             new = np.unique(segment[slot[segment] < 0])
             slot[new] = used + np.arange(len(new))
@@ -220,9 +221,41 @@ def filter_table(counts: DataFrame, max_bytes: int | None = None) -> tuple[DataF
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([np.packbits(flags[slot[s]], bitorder="little").tobytes()], pa.binary())],
                                              schema=arrow)
 
-    chosen = counts.select("gram", "n", _segment(segments).alias("segment"))
     parts = -(-segments // TASK_SEGMENTS)
-    return stage(chosen.repartition(parts, "segment").select("gram", "n").mapInArrow(fill, out), "filter"), segments
+    return stage(by_block(counts, segments).repartition(parts, "block").mapInArrow(fill, out), "filter"), segments
+
+
+def by_block(counts: DataFrame, segments: int) -> DataFrame:
+    """(block, grams, levels): of each block of segments a task's n-grams as bytes, so that 9 bytes of an n-gram are shuffled."""
+    out = "block bigint, grams binary, levels binary"
+    arrow = arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            gram, level = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            block = Filter.segment(gram, segments) // BLOCK_SEGMENTS
+            order = np.argsort(block, kind="stable")
+            block = block[order]
+            ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
+            sent = pa.RecordBatch.from_arrays([pa.array(block[ends - 1]), _bytes_column(gram[order], 8 * ends), _bytes_column(level[order], ends)], schema=arrow)
+            for lo in range(0, len(ends), 64):
+                yield sent.slice(lo, 64)
+
+        for b in batches:
+            if b.num_rows:
+                held.append((np.array(column(b, "gram")).view(np.uint64), level_of(np.asarray(column(b, "n"))).astype(np.uint8)))
+                size += b.num_rows
+            if size >= SENT_GRAMS:
+                yield from flush()
+                size = 0
+        if held:
+            yield from flush()
+
+    return counts.select("gram", "n").mapInArrow(run, out)
 
 
 def _segment(segments: int) -> Column:

@@ -159,3 +159,17 @@ def test_weight_is_fitted_on_all_texts(spark):
     for _ in range(20):
         a = np.clip(np.mean(a * together / (a * together + (1 - a) * alone)), 1e-4, 0.999)
     assert m.weight == pytest.approx(a, rel=1e-9)
+
+
+def test_ngrams_are_sent_to_the_filter_as_bytes(spark):
+    """One row of a block of segments and task, 9 bytes an n-gram; every n-gram once, with its level."""
+    rng = np.random.default_rng(5)
+    gram = rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000)
+    n = rng.integers(1, 2000, len(gram))
+    counts = spark.createDataFrame([(2, int(g), int(k)) for g, k in zip(gram, n, strict=True)], "kind int, gram bigint, n bigint").coalesce(2)
+    rows = B.by_block(counts, 640).collect()
+    assert len(rows) == 2 * 640 // B.BLOCK_SEGMENTS
+    got = [(r.block, g, level) for r in rows for g, level in zip(np.frombuffer(r.grams, np.uint64), np.frombuffer(r.levels, np.uint8), strict=True)]
+    block = B.Filter.segment(gram.view(np.uint64), 640) // B.BLOCK_SEGMENTS
+    assert sorted(got) == sorted(zip(block, gram.view(np.uint64), B.level_of(n), strict=True))
+    assert B.by_block(counts.limit(0), 640).count() == 0
