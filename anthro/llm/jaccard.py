@@ -61,6 +61,7 @@ LOG_UNITS = 2048
 TASK_COUNT = 65_535       # at which a task's counter stops (sums of tasks do not)
 SEGMENT = 1 << 14         # counters sent in one row
 BROADCAST_KEYS = 1_000_000
+SENT_TOKENS = 2_000_000   # of shared shingles sent to the workers (16 MB), else joined
 SEEN_KEYS = 100_000
 
 _SETS = "doc_id bigint, key bigint, n int, segment int, counters binary"
@@ -88,6 +89,16 @@ def set_keys(h: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray,
     return mix((sums[edges[1:]] - sums[edges[:-1]]) + n.astype(np.uint64)).view(np.int64), n
 
 
+def packed(counters: np.ndarray) -> bytes:
+    """Counters with all their low bytes first, compressed: a task's are mostly a few bits each."""
+    return pa.compress(counters.view(np.uint8).reshape(-1, 2).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(raw: pa.Buffer, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 2 * size, "zstd"), np.uint8).reshape(2, size)
+    return planes.T.copy().view(np.uint16).ravel()
+
+
 class Sketch:
     """Counts of shingles (a count-min sketch of two rows) and of words (one row), as logarithms.
 
@@ -151,14 +162,14 @@ def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, sket
         for lo in range(0, len(full), 32):
             part = full[lo:lo + 32]
             none = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int64(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*none, pa.array(part.astype(np.int32)), pa.array([flat[i].tobytes() for i in part], pa.binary())],
+            yield pa.RecordBatch.from_arrays([*none, pa.array(part.astype(np.int32)), pa.array([packed(flat[i]) for i in part], pa.binary())],
                                              schema=arrow)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for i, raw in zip(column(b, "segment").to_pylist(), column(b, "counters"), strict=True):
-                x = np.frombuffer(raw.as_buffer(), np.uint16)
+                x = unpacked(raw.as_buffer(), SEGMENT)
                 sums[i] = sums[i] + x if i in sums else x.astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([Sketch.log_counts(x).tobytes() for x in sums.values()], pa.binary())],
                                          schema=arrow_schema("segment int, counters binary"))
@@ -230,16 +241,29 @@ def choose_need(entries: DataFrame, percent: int, most_shared: int = MOST_SHARED
     return entries.withColumn("need", F.array_min(F.array(*costs))["need"])
 
 
-def posting_lists(postings: DataFrame, percent: int, most_shared: int = MOST_SHARED) -> DataFrame:
+def _with_tokens(postings: DataFrame, tokens: DataFrame, most: int) -> DataFrame:
+    """The postings of the distinct ``tokens``; up to ``most`` of these are sent as one sorted array, which takes a tenth of a broadcast table's memory."""
+    if tokens.count() > most:
+        return postings.join(tokens, "token")
+    sent = postings.sparkSession.sparkContext.broadcast(np.sort(np.asarray(tokens.toArrow()["token"])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.value
+        for b in batches:
+            token = np.asarray(column(b, "token"))
+            at = np.minimum(np.searchsorted(wanted, token), len(wanted) - 1)
+            yield b.filter(pa.array(wanted[at] == token)) if len(wanted) else b.slice(0, 0)
+
+    return postings.mapInArrow(run, _POSTINGS)
+
+
+def posting_lists(postings: DataFrame, percent: int, most_shared: int = MOST_SHARED, sent_tokens: int = SENT_TOKENS) -> DataFrame:
     """Entries (token, key, n, pos, need, before, is_hub) of the lists that hold more than one set; stored.
 
     ``before``: the token of the set's listed prefix just before the entry's.
     """
     shared = postings.groupBy("token").agg(F.min("key").alias("least"), F.max("key").alias("last")).where("least != last").select("token")
-    shared = stage(shared, "shared")
-    if shared.count() <= BROADCAST_KEYS:  # else a shuffled join
-        shared = F.broadcast(shared)
-    entries = postings.join(shared, "token").dropDuplicates(["token", "key"])
+    entries = _with_tokens(postings, stage(shared, "shared"), sent_tokens).dropDuplicates(["token", "key"])
     # in the prefix that the set sends at any need: by position, then the key's low 40 bits
     rank = F.expr(f"CASE WHEN pos <= n - {least_overlap(percent)} THEN pos * 1099511627776L + (key & 1099511627775L) END")
     lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.min(rank).alias("hub"))
@@ -250,18 +274,27 @@ def posting_lists(postings: DataFrame, percent: int, most_shared: int = MOST_SHA
 
 
 def member_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, shingles) of every set in a pair (a, b): sorted 64-bit hashes as bytes; stored."""
+    """(key, shingles) of every set in a pair (a, b): sorted 64-bit hashes as bytes; stored, one row a key.
+
+    A key has one document here unless ids repeat or are null, so only then are rows shuffled to drop the others.
+    """
     out = "key bigint, shingles binary"
     arrow = arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in row_ranges(batches, "text"):
             h, r, n_rows = _sets(column(b, "text"), shingle)
             h, r = distinct_per_row(h, r)
             keys, sizes = set_keys(h, r, n_rows)
             edges = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([h[a:z].tobytes() for a, z in zip(edges, edges[1:], strict=False)], pa.binary())],
-                                             schema=arrow)
+            new = []
+            for i, k in enumerate(keys.tolist()):
+                if k not in seen:
+                    new.append(i)
+                    if len(seen) < SEEN_KEYS:
+                        seen.add(k)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[new]), pa.array([h[edges[i]:edges[i + 1]].tobytes() for i in new], pa.binary())], schema=arrow)
 
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     ids = sets.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("rep")).select("rep").distinct()
@@ -270,7 +303,9 @@ def member_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int
         ids = F.broadcast(ids)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     chosen = src.join(ids, F.col("id").eqNullSafe(F.col("rep")), "left_semi").select("text")
-    return stage(chosen.mapInArrow(run, out).dropDuplicates(["key"]), "member-sets")
+    found = stage(chosen.mapInArrow(run, out), "member-sets")
+    rows, distinct = found.agg(F.count("*"), F.count_distinct("key")).first()
+    return found if rows == distinct else stage(found.dropDuplicates(["key"]), "member-sets")
 
 
 def _met(x: DataFrame, y: DataFrame, where: str) -> DataFrame:

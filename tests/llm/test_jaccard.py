@@ -1,7 +1,10 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from anthro.llm import jaccard as J
 from anthro.llm.components import connected_components
@@ -182,3 +185,55 @@ def test_shingle_order_does_not_depend_on_place():
     weight = sketch.weight(words.hash)
     direct = sum(weight[k:len(weight) - 2 + k] for k in range(3))
     assert (run_sums(words, weight, 3) == direct).all()
+
+
+def test_counters_are_sent_packed():
+    x = np.random.default_rng(3).poisson(1.2, J.SEGMENT).astype(np.uint16)
+    x[:3] = 65_535, 256, 0
+    raw = J.packed(x)
+    assert (J.unpacked(pa.py_buffer(raw), len(x)) == x).all() and 4 * len(raw) < x.nbytes
+
+
+def chained(n):
+    """Texts of few frequent words, so that a pair must share several shingles."""
+    rng = random.Random(12)
+    base = [[f"c{rng.randrange(12)}" for _ in range(80)] for _ in range(n // 4)]
+    docs = []
+    for i in range(n):
+        w = list(base[i % len(base)])
+        w[rng.randrange(len(w))] = f"c{rng.randrange(12)}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def test_lists_are_the_same_sent_or_joined(spark):
+    df = spark.createDataFrame(chained(60), "doc_id bigint, text string")
+    postings = J.prefixes(df, J.shingle_sets(df, 3, "doc_id", "text")[1], 3, 90, "text")
+    sent, joined = (sorted(map(tuple, J.posting_lists(postings, 90, sent_tokens=k).collect()), key=str) for k in (J.SENT_TOKENS, 0))
+    assert sent == joined and sent
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_members_are_not_shuffled_unless_they_repeat(spark, times, monkeypatch):
+    """One row a key, stored; what the verification joins is a scan, so that a hot key can be split."""
+    made = []
+    monkeypatch.setattr(J, "stage", lambda df, name, stage=J.stage: made.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or stage(df, name))
+    docs = chained(40)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    df = df.unionByName(df) if times == 2 else df
+    sets, _ = J.shingle_sets(df, 3, "doc_id", "text")
+    keys = sorted({r.key for r in sets.collect()})
+    pairs = spark.createDataFrame([(a, b) for i, a in enumerate(keys) for b in keys[i + 1:]], "a bigint, b bigint")
+    members = J.member_sets(df, sets, pairs, 3, "doc_id", "text")
+    assert "Aggregate" not in members._jdf.queryExecution().optimizedPlan().toString()
+    stored = [plan for name, plan in made if name == "member-sets"]
+    assert len(stored) == times and not stored[0].startswith("Aggregate")
+    assert sorted(r.key for r in members.collect()) == keys
+    texts = {r.doc_id: r.key for r in sets.collect()}
+    want = set()
+    for i, t in docs:
+        for j, u in docs:
+            x, y = shingles(t), shingles(u)
+            if texts[i] < texts[j] and 100 * len(x & y) >= 90 * len(x | y):
+                want.add((texts[i], texts[j]))
+    assert {tuple(r) for r in J.verify(pairs, members, 90).collect()} == want
