@@ -337,8 +337,7 @@ def pairs_across(placed: DataFrame, lists: DataFrame, percent: int) -> DataFrame
     met = _met(placed, placed, f"x.root < y.root and {_allowed(percent)} and not (x.before <=> y.before and x.before is not null)")
     pairs = stage(met.where(_possible(percent)).select("a", "b", "need"), "met")
     several = pairs.where("need > 1")
-    named = several.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    tokens = lists.select("key", "token").join(named, "key").groupBy("key").agg(F.collect_list("token").alias("tokens"))  # of a set's prefix
+    tokens = lists.groupBy("key").agg(F.collect_list("token").alias("tokens"))  # of a set's prefix: one row before it is joined
     for side in ("a", "b"):
         several = several.join(tokens.withColumnsRenamed({"key": side, "tokens": f"{side}_tokens"}), side)
     enough = several.where("size(array_intersect(a_tokens, b_tokens)) >= need")

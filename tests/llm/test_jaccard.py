@@ -213,6 +213,22 @@ def test_lists_are_the_same_sent_or_joined(spark):
     assert sent == joined and sent
 
 
+def test_no_join_gives_list_entries_of_pairs(spark):
+    """Tokens of a set are one row before they are joined: else the rows made grow with pairs times list entries."""
+    df = spark.createDataFrame(chained(60), "doc_id bigint, text string")
+    lists = J.posting_lists(J.prefixes(df, J.shingle_sets(df, 3, "doc_id", "text")[1], 3, 90, "text"), 90)
+    placed = lists.drop("is_hub").withColumn("root", F.col("key"))
+    assert lists.where("need > 1").count()
+    across = J.pairs_across(placed, lists, 90)
+    joins = [x for x in across._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert len(joins) == 2 and not any("(key#" in x for x in joins)
+    tokens = {}
+    for r in lists.collect():
+        tokens.setdefault(r.key, (r.need, set()))[1].add(r.token)
+    got = {tuple(r) for r in across.collect()}
+    assert got and all(len(tokens[a][1] & tokens[b][1]) >= min(tokens[a][0], tokens[b][0]) for a, b in got)
+
+
 @pytest.mark.parametrize("times", [1, 2])
 def test_members_are_not_shuffled_unless_they_repeat(spark, times, monkeypatch):
     """One row a key, stored; what the verification joins is a scan, so that a hot key can be split."""
